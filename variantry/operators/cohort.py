@@ -14,14 +14,6 @@ from variantry.operators.gather import GROUP_ROWS, gather_distinct, with_row_ord
 INTERNAL = (DATASET_INDEX, ROW_ORDER)
 
 
-def with_default_family(df: DataFrame) -> DataFrame:
-    """Name the family of a dataset without one by the dataset's position, from 1."""
-    position = (F.col(DATASET_INDEX) + 1).cast("string")
-    if "family" not in df.columns:
-        return df.withColumn("family", position)
-    return df.withColumn("family", F.col("family").cast("string"))
-
-
 def row_counts(df: DataFrame, keys: list[str] = SITE_KEYS) -> DataFrame:
     """The keys and how many rows each has."""
     named = df.select(*[col(key) for key in keys]).dropna()
@@ -56,7 +48,7 @@ def default_columns(df: DataFrame) -> list[str]:
 def first_value(name: str, order: list[str]) -> Column:
     """The first non-null value in the given order."""
     # A single number keeps the aggregation buffer flat, which a struct would not.
-    rank = F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(part) for part in order])
+    rank = col(order[0]) if len(order) == 1 else F.struct(*[col(part) for part in order])
     return F.min_by(col(name), F.when(col(name).isNotNull(), rank))
 
 
@@ -70,7 +62,7 @@ def family_frequencies(
     most one value per family, whatever the number of rows of a variant.
     """
     order = order or [ROW_ORDER]
-    named = with_row_order(df).dropna(subset=[f"`{key}`" for key in keys])
+    named = (df if order != [ROW_ORDER] else with_row_order(df)).dropna(subset=[f"`{key}`" for key in keys])
     firsts = named.groupBy(*[col(key) for key in keys], col(by).alias("_by")).agg(first_value(value, order).alias("_value"))
     wide = firsts.groupBy(*[col(key) for key in keys]).pivot("_by", families).agg(F.first("_value", ignorenulls=True))
     return wide.select(*[col(key) for key in keys], *[col(name).alias(f"{prefix}{name}") for name in families])
@@ -102,6 +94,7 @@ def cohort(
     keys: list[str] = SITE_KEYS,
     order: str = "first",
     unique: bool = False,
+    rank: list[str] | None = None,
 ) -> DataFrame:
     """Combine the rows of many datasets into one row per variant.
 
@@ -109,15 +102,14 @@ def cohort(
     columns keep their first value; the sample frequency becomes `AF_<family>` for
     each of `families`. `ROW_COUNT` is the number of rows combined. `columns` is
     "default" or "all". `unique` states that no dataset has a variant twice, which
-    bounds the rows of a variant by the number of datasets.
+    bounds the rows of a variant by the number of datasets. `rank` names the columns
+    that decide which frequency is first, in place of the order of datasets and rows.
     """
     if row_count_only:
         counts = row_counts(df, keys)
         return counts if cutoff is None else counts.where(F.col(ROW_COUNT) < cutoff)
     if columns not in ("default", "all"):
         raise ValueError(f"columns must be 'default' or 'all', not {columns!r}")
-    if DATASET_INDEX in df.columns:
-        df = with_default_family(df)
     if order == "first":
         df = with_row_order(df)
     if cutoff is not None:
@@ -133,17 +125,15 @@ def cohort(
 
     bounded = unique or (cutoff is not None and cutoff <= 10_000)
     result = gather_distinct(rows, keys, listed, order=order, bounded=bounded)
-    rank = [name for name in (DATASET_INDEX, ROW_ORDER) if name in df.columns]
-    if unique and DATASET_INDEX in rank:
-        rank = [DATASET_INDEX]
+    if rank is None:
+        rank = [DATASET_INDEX] if unique and DATASET_INDEX in df.columns else [name for name in INTERNAL if name in df.columns]
+    if not rank:
+        rows, rank = with_row_order(rows), [ROW_ORDER]
     if firsts:
-        first_rows = rows if rank else with_row_order(rows)
-        kept = first_rows.groupBy(*[col(key) for key in keys]).agg(
-            *[first_value(name, rank or [ROW_ORDER]).alias(name) for name in firsts]
-        )
+        kept = rows.groupBy(*[col(key) for key in keys]).agg(*[first_value(name, rank).alias(name) for name in firsts])
         result = result.join(kept, keys)
     if has_frequency:
-        result = result.join(family_frequencies(rows, families, keys, order=rank or None), keys)
+        result = result.join(family_frequencies(rows, families, keys, order=rank), keys)
 
     output: list[str] = []
     frequencies = [f"AF_{family}" for family in families] if has_frequency else []

@@ -35,14 +35,14 @@ MAX_BROADCAST_SPANS = 1_000_000
 Listing = DataFrame | Iterable[str]
 
 
-def short_list(wanted: Listing) -> list[str] | None:
+def short_list(wanted: Listing, longest: int = MAX_LITERALS) -> list[str] | None:
     """The entries of a list, or None if there are more than fit into a filter."""
     if isinstance(wanted, DataFrame):
-        head = wanted.select(F.col(wanted.columns[0])).dropna().limit(MAX_LITERALS + 1).collect()
+        head = wanted.select(F.col(wanted.columns[0])).dropna().limit(longest + 1).collect()
         values = [row[0] for row in head]
     else:
         values = list(dict.fromkeys(value for value in wanted if value is not None))
-    return values if len(values) <= MAX_LITERALS else None
+    return values if len(values) <= longest else None
 
 
 def _as_frame(df: DataFrame, wanted: Listing) -> DataFrame:
@@ -51,7 +51,7 @@ def _as_frame(df: DataFrame, wanted: Listing) -> DataFrame:
     return df.sparkSession.createDataFrame([(value,) for value in wanted], "_wanted string").dropna()
 
 
-def mark_listed(df: DataFrame, name: str, wanted: Listing, flag: str, known: list[str] | None = None) -> DataFrame:
+def mark_listed(df: DataFrame, name: str, wanted: Listing, flag: str, longest: int = MAX_LITERALS) -> DataFrame:
     """Add `flag`: whether any entry of the cell is in the list, exactly and case-sensitively.
 
     A long list is matched against the distinct cells, of which there are far fewer
@@ -59,7 +59,7 @@ def mark_listed(df: DataFrame, name: str, wanted: Listing, flag: str, known: lis
     cells shrink to one before the first shuffle, and Spark splits them in the second.
     """
     cell = col(name).cast("string")
-    known = short_list(wanted) if known is None else known
+    known = short_list(wanted, longest)
     if known is not None:
         hit = F.exists(tokens(cell), lambda token: token.isin(*known)) if known else F.lit(False)
         return df.withColumn(flag, F.coalesce(hit, F.lit(False)))
@@ -70,19 +70,23 @@ def mark_listed(df: DataFrame, name: str, wanted: Listing, flag: str, known: lis
     return marked.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
-def match_genes(df: DataFrame, genes: Listing | None, column: str = SYMBOL) -> DataFrame:
+def match_genes(
+    df: DataFrame, genes: Listing | None, column: str = SYMBOL, longest: int = MAX_LITERALS
+) -> DataFrame:
     """Keep the rows naming a listed gene; without a list or the column, keep all."""
     if genes is None:
         return df
     if column not in df.columns:
         warnings.warn(f"column {column!r} not found, genes are not filtered", stacklevel=2)
         return df
-    return mark_listed(df, column, genes, IN_GENES).where(IN_GENES).drop(IN_GENES)
+    return mark_listed(df, column, genes, IN_GENES, longest).where(IN_GENES).drop(IN_GENES)
 
 
-def match_rsids(df: DataFrame, rsids: Listing | None, column: str = "ID") -> DataFrame:
+def match_rsids(
+    df: DataFrame, rsids: Listing | None, column: str = "ID", longest: int = MAX_LITERALS
+) -> DataFrame:
     """Keep the rows naming a listed rsID; without a list or the column, keep all."""
-    return match_genes(df, rsids, column)
+    return match_genes(df, rsids, column, longest)
 
 
 def chromosome(value: Column) -> Column:
@@ -174,7 +178,7 @@ def mark_criteria(
         known = short_list(wanted)
         if known == []:
             continue
-        df = mark_listed(df, name, wanted, flag, known)
+        df = mark_listed(df, name, wanted if known is None else known, flag)
         flags.append(flag)
     return df, flags
 

@@ -18,11 +18,14 @@ class ValidationError(ValueError):
     """The data break a rule that later steps rely on."""
 
 
-def uniqueness_keys(df: DataFrame) -> list[str]:
-    """The available key columns, or none if the genomic coordinates are incomplete."""
+def uniqueness_keys(df: DataFrame, group_keys: list[str] = ()) -> list[str]:
+    """The available key columns, or none if the genomic coordinates are incomplete.
+
+    Rows of several files are unique per file, so `filename` counts if it is a group key.
+    """
     present = [key for key in UNIQUE_KEYS if key in df.columns]
     if len(present) >= 4:
-        return present
+        return [*present, *[key for key in group_keys if key == "filename"]]
     warnings.warn(f"too few key columns to check uniqueness: {present}", stacklevel=2)
     return []
 
@@ -33,10 +36,9 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return named.groupBy(*[col(key) for key in keys]).agg(F.count(F.lit(1)).alias(N_ROWS)).where(F.col(N_ROWS) > 1)
 
 
-def collapsed_duplicates(source: DataFrame, group_keys: list[str], keys: list[str]) -> DataFrame:
-    """The duplicate keys the collapse of `source` will have, from its key columns alone."""
-    groups = source.select(*[col(key) for key in group_keys]).dropna().distinct()
-    return duplicate_keys(groups, keys)
+def group_rows(source: DataFrame, group_keys: list[str]) -> DataFrame:
+    """The keys of the rows a collapse of `source` will have."""
+    return source.select(*[col(key) for key in group_keys]).dropna().distinct()
 
 
 def preview(duplicates: DataFrame, limit: int = PREVIEW) -> DataFrame:
@@ -83,11 +85,11 @@ def rows_without(df: DataFrame, duplicates: DataFrame, keys: list[str]) -> DataF
 
 def quarantine(collapsed: DataFrame, source: DataFrame, group_keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """Split off all rows of duplicated keys: `(clean collapsed rows, distinct source rows)`."""
-    keys = uniqueness_keys(collapsed)
+    keys = uniqueness_keys(collapsed, group_keys)
     plain = source.drop(ROW_ORDER)
     if not keys:
         return collapsed, plain.limit(0)
-    duplicates = collapsed_duplicates(source, group_keys, keys)
+    duplicates = duplicate_keys(group_rows(source, group_keys), keys)
     return rows_without(collapsed, duplicates, keys), rows_of(plain, duplicates, keys).distinct()
 
 

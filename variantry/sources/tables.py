@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from variantry.functions.schema import with_provenance
 from variantry.functions.text import col
 from variantry.names import DATASET_INDEX, ROW_ORDER, SOURCE_DATASET
 from variantry.operators.cohort import union_aligned
@@ -124,6 +123,12 @@ def valid_datasets(spark: SparkSession, paths: list[str]) -> dict[str, T.StructT
     return valid
 
 
+def _with_family(df: DataFrame) -> DataFrame:
+    """Name the family of datasets without that column by their position, from 1."""
+    position = (F.col(DATASET_INDEX) + 1).cast("string")
+    return df.withColumn("family", F.col("family").cast("string") if "family" in df.columns else position)
+
+
 def read_datasets(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, list[str]]:
     """Many datasets as one table with a dataset number, and the paths by number.
 
@@ -143,7 +148,7 @@ def read_datasets(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, lis
         scan = spark.read.schema(stored).parquet(*[valid[index] for index in members])
         cells = [col(field.name).try_cast(field.dataType).alias(field.name) for field in wanted]
         if len(members) == 1:
-            frames.append(scan.select(*cells, F.lit(members[0]).alias(DATASET_INDEX)))
+            frames.append(_with_family(scan.select(*cells, F.lit(members[0]).alias(DATASET_INDEX))))
             continue
         folder = F.regexp_replace(F.regexp_replace("_metadata.file_path", "/[^/]*$", ""), "^file:/+", "/")
         numbers = spark.createDataFrame(
@@ -151,7 +156,7 @@ def read_datasets(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, lis
         )
         # As many rows as paths, all of which the driver already holds.
         placed = scan.select(*cells, folder.alias("_folder"))
-        frames.append(placed.join(F.broadcast(numbers), "_folder").drop("_folder"))
+        frames.append(_with_family(placed.join(F.broadcast(numbers), "_folder").drop("_folder")))
     return union_aligned(frames), valid
 
 
@@ -162,8 +167,3 @@ def number_datasets(df: DataFrame, by: str = SOURCE_DATASET) -> tuple[DataFrame,
     # As many rows as datasets, whose names the driver already holds.
     return df.join(F.broadcast(numbers), by), names
 
-
-__all__ = [
-    "check_inputs", "number_datasets", "read_dataset", "read_datasets", "read_delimited", "read_path_list",
-    "read_sidecar", "valid_datasets", "with_provenance",
-]
