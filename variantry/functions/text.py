@@ -75,10 +75,11 @@ def text_of_double(value: Column) -> Column:
         F.lpad(exponent, F.greatest(F.lit(2), F.length(exponent)), F.lit("0")),
     )
     return (
-        F.when(java == "Infinity", "inf")
+        # Nearly all values end here: no exponent, no Infinity, no NaN.
+        F.when(~java.rlike("[EIN]"), java)
+        .when(java == "Infinity", "inf")
         .when(java == "-Infinity", "-inf")
         .when(java == "NaN", null_text())
-        .when(~java.contains("E"), java)
         .when(power == -4, F.concat(sign, F.lit("0.000"), digits))
         .when(power.between(7, 15), plain_large)
         .otherwise(scientific)

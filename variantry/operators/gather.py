@@ -27,8 +27,8 @@ _BLOCK = "_block"
 _DATASETS = "_datasets"
 _ROWS = "_rows"
 
-# Below this estimated size an input has so few partitions that all blocks of a group
-# lie within one range, and the step between would only repeat the last one.
+# An input up to this size has so few partitions that all blocks of a group lie within
+# one range, and the step between would only repeat the last one.
 ONE_RANGE_BYTES = 64 * 128 * 1024 * 1024
 
 
@@ -40,14 +40,19 @@ def with_row_order(df: DataFrame) -> DataFrame:
     return df if ROW_ORDER in df.columns else df.withColumn(ROW_ORDER, F.monotonically_increasing_id())
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's estimate of the size of `df`."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def input_bytes(df: DataFrame) -> int:
+    """The size of all tables `df` reads, as the optimizer knows it.
+
+    Sizes of joins are left aside: their estimates multiply and say nothing about the
+    number of input partitions.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
 def _row_steps(df: DataFrame) -> list[dict[str, Column]]:
     steps = [{_BLOCK: F.shiftright(F.col(ROW_ORDER), BLOCK_BITS)}]
-    if estimated_bytes(df) > ONE_RANGE_BYTES:
+    if input_bytes(df) > ONE_RANGE_BYTES:
         steps.append({_BLOCK: F.shiftright(F.col(_BLOCK), RANGE_BITS)})
     return [*steps, {}]
 
@@ -112,7 +117,11 @@ def _combine(
 
     def merged(slot: str) -> Column:
         values = F.col(_ROWS)[slot]
-        return F.array_distinct(F.flatten(values) if nested else F.array_compact(values))
+        if not nested:
+            return F.array_distinct(F.array_compact(values))
+        # Most groups lie in one block and have nothing to merge.
+        alone = F.size(_ROWS) == 1
+        return F.when(alone, F.get(values, F.lit(0))).otherwise(F.array_distinct(F.flatten(values)))
 
     return grouped.select(
         *[col(key) for key in keys],

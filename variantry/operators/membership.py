@@ -97,6 +97,8 @@ def chromosome(value: Column) -> Column:
 def position(df: DataFrame, name: str = "POS") -> Column:
     """The position as a whole number; null where the cell holds anything else."""
     kind = df.schema[name].dataType
+    if isinstance(kind, T.IntegralType):
+        return col(name).cast("bigint")
     if isinstance(kind, (T.DoubleType, T.FloatType)):
         return F.when(~F.isnan(col(name)), col(name)).try_cast("bigint")
     return F.when(col(name).cast("string").rlike(r"^\s*[-+]?\d+\s*$"), col(name)).try_cast("bigint")

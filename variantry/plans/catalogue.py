@@ -41,7 +41,7 @@ from variantry.operators.membership import (
 )
 from variantry.plans.driver_tables import FAMILIES, REGIONS_SQL, VARIANTS_SQL, regions, table, variants
 from variantry.plans.pipeline import combine, filter_and_collapse
-from variantry.session import scratch_path
+from variantry.session import scratch_path, spread
 from variantry.sinks import as_text, export_tsv, write_dataset
 from variantry.sources.lists import rsids_of
 from variantry.sources.tables import number_datasets, read_dataset, read_datasets, read_delimited
@@ -712,7 +712,7 @@ VCF_HEADER = [
 )
 def vcf_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     """VCF text with two samples and two annotations per record, as a long table."""
-    lines = table(spark, sf_dir, "lineitem").join(
+    lines = spread(table(spark, sf_dir, "lineitem")).join(
         table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")
     ).selectExpr(
         """concat_ws('\t', concat('chr', l_partkey % 22 + 1), l_partkey,

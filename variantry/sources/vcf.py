@@ -97,7 +97,7 @@ def tuple_text(parts: Column, kind: str) -> Column:
 def field_value(text: Column, field: Field) -> Column:
     """The value of a field in its declared type; several values as a tuple text."""
     if field.name == "GT":
-        return tuple_text(F.split(given(text), "[/|]"), "Integer")
+        return tuple_text(F.split(F.translate(given(text), "|", "/"), "/"), "Integer")
     if field.number != "1":
         return tuple_text(F.split(given(text), ","), field.kind)
     if field.kind == "Integer":
@@ -118,11 +118,13 @@ def info_value(entries: Column, field: Field) -> Column:
 
 def range_text(text: Column) -> Column:
     """`2872/4335` as `(start: 2872, end: 7207, length: 4335)`."""
-    start = F.regexp_extract(text, r"^(\d+)/(\d+)$", 1).try_cast("bigint")
-    length = F.regexp_extract(text, r"^(\d+)/(\d+)$", 2).try_cast("bigint")
-    return F.when(
-        start.isNotNull(),
-        F.format_string("(start: %d, end: %d, length: %d)", start, start + length, length),
+    start = F.split_part(text, F.lit("/"), F.lit(1)).try_cast("bigint")
+    length = F.split_part(text, F.lit("/"), F.lit(2)).try_cast("bigint")
+    end = start + length
+    # Null if either part is no number.
+    return F.concat(
+        F.lit("(start: "), start.cast("string"), F.lit(", end: "), end.cast("string"),
+        F.lit(", length: "), length.cast("string"), F.lit(")"),
     )
 
 
