@@ -6,8 +6,9 @@ import csv
 import json
 import warnings
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,7 +25,7 @@ NULL_TOKENS = [
 ]
 
 SIDECAR = "_dataset"
-HEADER_READERS = 16
+DRIVER_READERS = 16
 
 
 def _header(spark: SparkSession, path: str, separator: str) -> tuple[str, ...]:
@@ -42,7 +43,7 @@ def read_delimited(spark: SparkSession, paths: list[str] | str, separator: str =
     family and file name of every row.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    with ThreadPoolExecutor(HEADER_READERS) as readers:
+    with ThreadPoolExecutor(DRIVER_READERS) as readers:
         headers = list(readers.map(lambda path: _header(spark, path, separator), paths))
     by_header: dict[tuple[str, ...], list[str]] = {}
     for header, path in zip(headers, paths):
@@ -106,18 +107,33 @@ def read_path_list(spark: SparkSession, path: str) -> list[str]:
     return found
 
 
-def valid_datasets(spark: SparkSession, paths: list[str]) -> dict[str, T.StructType]:
+@dataclass(frozen=True)
+class Stored:
+    """A dataset's schema in its files, and as it is read."""
+
+    files: T.StructType
+    table: T.StructType
+
+
+def _inspect(spark: SparkSession, path: str) -> Stored | PySparkException:
+    try:
+        return Stored(spark.read.parquet(path).schema, read_dataset(spark, path).schema)
+    except PySparkException as error:
+        return error
+
+
+def valid_datasets(spark: SparkSession, paths: list[str]) -> dict[str, Stored]:
     """The readable datasets among the paths with their schemas; none is an error."""
+    with ThreadPoolExecutor(DRIVER_READERS) as readers:
+        found = dict(zip(paths, readers.map(lambda path: _inspect(spark, path), paths)))
     valid = {}
-    for path in paths:
-        try:
-            schema = read_dataset(spark, path).schema
-        except (AnalysisException, PySparkException) as error:
-            warnings.warn(f"dataset {path} cannot be read: {error}", stacklevel=2)
+    for path, stored in found.items():
+        if isinstance(stored, PySparkException):
+            warnings.warn(f"dataset {path} cannot be read: {stored}", stacklevel=2)
             continue
-        if SOURCE_DATASET not in schema.names:
+        if SOURCE_DATASET not in stored.table.names:
             warnings.warn(f"dataset {path} lacks {SOURCE_DATASET}, was it collapsed?", stacklevel=2)
-        valid[path] = schema
+        valid[path] = stored
     if not valid:
         raise ValueError("no valid datasets")
     return valid
@@ -135,18 +151,16 @@ def read_datasets(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, lis
     Datasets with equal schemas share one scan, so the plan grows with the number of
     different schemas and not with the number of datasets.
     """
-    schemas = valid_datasets(spark, paths)
-    valid = list(schemas)
+    stored = valid_datasets(spark, paths)
+    valid = list(stored)
     groups: dict[str, list[int]] = {}
-    for index, path in enumerate(valid):
-        stored = spark.read.parquet(path).schema
-        groups.setdefault(json.dumps([stored.json(), schemas[path].json()]), []).append(index)
+    for index, schemas in enumerate(stored.values()):
+        groups.setdefault(json.dumps([schemas.files.json(), schemas.table.json()]), []).append(index)
     frames = []
     for members in groups.values():
-        stored = spark.read.parquet(valid[members[0]]).schema
-        wanted = schemas[valid[members[0]]]
-        scan = spark.read.schema(stored).parquet(*[valid[index] for index in members])
-        cells = [col(field.name).try_cast(field.dataType).alias(field.name) for field in wanted]
+        schemas = stored[valid[members[0]]]
+        scan = spark.read.schema(schemas.files).parquet(*[valid[index] for index in members])
+        cells = [col(field.name).try_cast(field.dataType).alias(field.name) for field in schemas.table]
         if len(members) == 1:
             frames.append(_with_family(scan.select(*cells, F.lit(members[0]).alias(DATASET_INDEX))))
             continue
