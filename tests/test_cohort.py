@@ -145,6 +145,8 @@ def test_hot_variant_against_brute_force(spark, monkeypatch):
     for pos, entry in expected.items():
         assert found[pos]["INFO['v']"] == entry["values"] and found[pos][ROW_COUNT] == entry["n"]
         assert {f: found[pos][f"AF_{f}"] for f in families} == {f: entry["afs"].get(f) for f in families}
+    rare = by_pos(cohort(df, families=families, cutoff=20))
+    assert rare == {pos: row for pos, row in found.items() if row[ROW_COUNT] < 20} and 0 < len(rare) < len(found)
 
 
 def test_cutoff_reads_keys_only(spark, tmp_path, plan_of):

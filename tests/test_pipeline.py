@@ -162,3 +162,24 @@ def test_spread_leaves_large_scans_alone(spark):
     wide = spark.range(100, numPartitions=9)
     assert spread(wide) is wide
     assert spread(spark.range(100, numPartitions=1)).rdd.getNumPartitions() == 4
+
+
+def test_command_line(spark, tmp_path):
+    from variantry.__main__ import main
+
+    (tmp_path / "config.yaml").write_text("FILTERS:\n  \"ANN['MAX_AF']\": \"<=:0.2\"\n")
+    (tmp_path / "dtypes.csv").write_text("column_name,dtype\nPOS,int64\nFORMAT['AF'],float64\n")
+    (tmp_path / "genes.tsv").write_text("Gene Symbol\nG1\n")
+    listed = []
+    for name, rows in (("fam1", FAM1), ("fam2", FAM2)):
+        typed, out = str(tmp_path / name), str(tmp_path / f"{name}.collapsed")
+        main(["ingest", tsv(tmp_path / f"{name}.x.tsv", rows), "--output", typed, "--dtypes", str(tmp_path / "dtypes.csv")])
+        main(["collapse", typed, "--config", str(tmp_path / "config.yaml"), "--output", out, "--genes", str(tmp_path / "genes.tsv")])
+        listed.append(out)
+    (tmp_path / "list.txt").write_text("# datasets\n" + "\n".join(listed) + "\n")
+    main(["cohort", "--file-list", str(tmp_path / "list.txt"), "--output", str(tmp_path / "c"), "--row-count-only"])
+    assert [tuple(r) for r in read_dataset(spark, str(tmp_path / "c")).collect()] == [("chr1", 100, "A", "C", 2)]
+    main(["cohort", "--datasets", *listed, "--output", str(tmp_path / "c2"), "--row-count-cutoff", "2"])
+    assert read_dataset(spark, str(tmp_path / "c2")).count() == 0
+    main(["narrow", listed[0], "--config", str(tmp_path / "config.yaml"), "--output", str(tmp_path / "n")])
+    assert read_dataset(spark, str(tmp_path / "n")).count() == 1

@@ -21,11 +21,7 @@ def row_counts(df: DataFrame, keys: list[str] = SITE_KEYS) -> DataFrame:
 
 
 def below_cutoff(df: DataFrame, cutoff: int, keys: list[str] = SITE_KEYS) -> DataFrame:
-    """The rows of variants with fewer than `cutoff` rows.
-
-    Counting reads the keys only, so common variants are gone before anything wide is
-    shuffled or gathered.
-    """
+    """The rows of variants with fewer than `cutoff` rows; counting reads the keys only."""
     rare = row_counts(df, keys).where(F.col(ROW_COUNT) < cutoff).drop(ROW_COUNT)
     return df.join(rare, keys, "left_semi").select(*[col(name) for name in df.columns])
 
@@ -112,8 +108,6 @@ def cohort(
         raise ValueError(f"columns must be 'default' or 'all', not {columns!r}")
     if order == "first":
         df = with_row_order(df)
-    if cutoff is not None:
-        df = below_cutoff(df, cutoff, keys)
     rows = df.dropna(subset=[f"`{key}`" for key in keys])
     has_frequency = SAMPLE_AF in df.columns and bool(families)
     if columns == "default":
@@ -123,8 +117,7 @@ def cohort(
     listed = [name for name in chosen if name != SAMPLE_AF and not name.startswith("AF_")]
     firsts = [name for name in chosen if name.startswith("AF_")]
 
-    bounded = unique or (cutoff is not None and cutoff <= 10_000)
-    result = gather_distinct(rows, keys, listed, order=order, bounded=bounded)
+    result = gather_distinct(rows, keys, listed, order=order, bounded=unique, fewer_than=cutoff)
     if rank is None:
         rank = [DATASET_INDEX] if unique and DATASET_INDEX in df.columns else [name for name in INTERNAL if name in df.columns]
     if not rank:

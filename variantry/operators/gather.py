@@ -35,7 +35,8 @@ ONE_RANGE_BYTES = 64 * 128 * 1024 * 1024
 def with_row_order(df: DataFrame) -> DataFrame:
     """Number the rows as they are read, unless they carry their order already.
 
-    Within a file the numbers follow the file. Apply before any shuffle.
+    Within a file the numbers follow the file. Apply before any shuffle: rows computed
+    again after the loss of an executor must get the same numbers.
     """
     return df if ROW_ORDER in df.columns else df.withColumn(ROW_ORDER, F.monotonically_increasing_id())
 
@@ -68,18 +69,25 @@ def _dataset_steps() -> list[dict[str, Column]]:
 
 
 def gather_distinct(
-    df: DataFrame, keys: list[str], columns: list[str], order: str = "first", bounded: bool = False
+    df: DataFrame,
+    keys: list[str],
+    columns: list[str],
+    order: str = "first",
+    bounded: bool = False,
+    fewer_than: int | None = None,
 ) -> DataFrame:
     """One row per key: for each column the array of its distinct texts, and the row count.
 
     `order="first"` keeps values in order of first appearance, by dataset and then by
     row; `order="sorted"` sorts them, which lets Spark drop repeated values before the
     only shuffle. `bounded=True` states that a key is known to have few rows, as after
-    a uniqueness check; they are then combined in one step.
+    a uniqueness check; they are then combined in one step. `fewer_than` leaves out
+    groups with that many rows or more; their values are let go in the step in which
+    the rows of a block or range suffice to tell.
     """
     kinds = {name: df.schema[name].dataType for name in columns}
     if order == "sorted":
-        return _gather_sorted(df, keys, columns)
+        return _fewer(_gather_sorted(df, keys, columns), fewer_than)
     if order != "first":
         raise ValueError(f"unknown order {order!r}")
     by_dataset = DATASET_INDEX in df.columns
@@ -98,15 +106,25 @@ def gather_distinct(
     else:
         steps = _dataset_steps() if by_dataset else _row_steps(df)
     for depth, step in enumerate(steps):
-        state = _combine(state, keys, list(slots), rank, step, nested=depth > 0)
+        state = _combine(state, keys, list(slots), rank, step, depth > 0, fewer_than)
         rank = list(step)
-    return state.select(
+    return _fewer(state, fewer_than).select(
         *[col(key) for key in keys], *[F.col(slot).alias(name) for slot, name in slots.items()], F.col(GROUP_ROWS)
     )
 
 
+def _fewer(groups: DataFrame, fewer_than: int | None) -> DataFrame:
+    return groups if fewer_than is None else groups.where(F.col(GROUP_ROWS) < fewer_than)
+
+
 def _combine(
-    state: DataFrame, keys: list[str], slots: list[str], rank: list[str], step: dict[str, Column], nested: bool
+    state: DataFrame,
+    keys: list[str],
+    slots: list[str],
+    rank: list[str],
+    step: dict[str, Column],
+    nested: bool,
+    fewer_than: int | None,
 ) -> DataFrame:
     """Merge the rows of each (key, step) in rank order, keeping first appearances."""
     grouped = state.withColumns({f"{name}_next": value for name, value in step.items()}) if step else state
@@ -117,6 +135,8 @@ def _combine(
 
     def merged(slot: str) -> Column:
         values = F.col(_ROWS)[slot]
+        if fewer_than is not None:
+            values = F.when(F.col(GROUP_ROWS) < fewer_than, values)
         if not nested:
             return F.array_distinct(F.array_compact(values))
         # Most groups lie in one block and have nothing to merge.

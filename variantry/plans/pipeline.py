@@ -14,6 +14,7 @@ from variantry.functions.schema import coerce_types, drop_columns, rename_column
 from variantry.names import COLLAPSE_KEYS, ROW_ORDER, SITE_KEYS
 from variantry.operators.cohort import check_cutoff, cohort
 from variantry.operators.collapse import available_keys, collapse
+from variantry.operators.gather import with_row_order
 from variantry.operators.membership import Listing, match_any, match_genes
 from variantry.operators.validate import (
     group_rows,
@@ -73,6 +74,9 @@ def filter_and_collapse(
     Rows of several files collapse side by side: a `filename` column, if there is one,
     joins the keys and names the source dataset.
     """
+    # Numbered while still in the scan: after a shuffle, rows that are computed again
+    # for a lost executor could get other numbers.
+    df = with_row_order(df) if order == "first" else df
     rows = apply_rules(match_genes(df, genes), config.rules)
     rows = drop_columns(rows, config.drop_columns)
     keys = available_keys(rows, COLLAPSE_KEYS)
@@ -145,7 +149,7 @@ def combine(
     check_cutoff(cutoff, len(names))
     if check:
         require_dataset_uniqueness(df, names)
-    rows = match_genes(df, genes)
+    rows = match_genes(with_row_order(df), genes)
     families = require_families(rows, names)
     return cohort(rows, columns, row_count_only, cutoff, families, unique=check)
 
