@@ -104,7 +104,11 @@ def test_many_files_collapse_side_by_side(spark, tmp_path):
         ("fam1.x.tsv", 100, "fam1.x"), ("fam1.x.tsv", 300, "fam1.x"), ("fam2.x.tsv", 100, "fam2.x"),
         ("fam2.x.tsv", 500, "fam2.x"), ("fam3.x.tsv", 100, "fam3.x"), ("fam3.x.tsv", 500, "fam3.x"),
     }
-    run_collapse(spark, typed, CONFIG, str(tmp_path / "out"))
+    together = run_collapse(spark, typed, CONFIG, str(tmp_path / "out"))
+    joint = read_dataset(spark, run_cohort(spark, [together], str(tmp_path / "cohort"), cutoff=3))
+    assert {(r.CHROM, r.POS, r["AF_fam2"], r["AF_fam3"], r["ROW_COUNT"]) for r in joint.collect()} == {
+        ("chr1", 300, None, None, 1), ("chr2", 500, 0.25, 0.25, 2)
+    }
 
 
 def test_duplicates_stop_or_are_set_aside(spark, tmp_path):

@@ -10,7 +10,7 @@ from variantry.functions.schema import (
     resolve,
     with_provenance,
 )
-from variantry.functions.text import text_of_double, tokens
+from variantry.functions.text import double_text_sql, tokens
 from variantry.operators.cohort import union_aligned
 
 
@@ -28,7 +28,7 @@ def test_doubles_read_as_in_python(spark):
     values = [0.0, 1.0, -1.5, 0.1, 1e-3, 1.5e-4, -2e-4, 1e-4, 1e-5, 1.25e-5, 1e-10, 2.5e-300, 9999999.0, 1e7, 12345678.0,
               12345678.25, 1.5e10, -3e15, 1e16, 1.25e16, 1e22, 1e100, 123456789012345.6, float("inf"), float("-inf")]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
-    found = [r.t for r in df.select("i", text_of_double(F.col("v")).alias("t")).orderBy("i").collect()]
+    found = [r.t for r in df.select("i", F.expr(double_text_sql("v")).alias("t")).orderBy("i").collect()]
     assert found == [repr(v) for v in values]
 
 

@@ -13,13 +13,14 @@ CELL_DELIMITERS = "[;,|&]"
 WHITESPACE = " \t\n\r\f\x0b"
 
 
-def col(name: str) -> Column:
-    """A column by its exact name, which may hold quotes, dots and brackets."""
-    return F.col("`" + name.replace("`", "``") + "`")
+def quoted(name: str) -> str:
+    """A column name as SQL; it may hold quotes, dots and brackets."""
+    return "`" + name.replace("`", "``") + "`"
 
 
-def null_text() -> Column:
-    return F.lit(None).cast("string")
+def col(name: str) -> Column:
+    """A column by its exact name."""
+    return F.col(quoted(name))
 
 
 def number(value: Column) -> Column:
@@ -52,48 +53,53 @@ def tokens(cell: Column) -> Column:
     )
 
 
-def text_of_double(value: Column) -> Column:
-    """A double in Python's notation: `1e-05` and `12345678.0`, where Java differs."""
-    java = value.cast("string")
-    sign = F.when(java.startswith("-"), "-").otherwise("")
-    lead = F.regexp_extract(java, r"^-?(\d)\.", 1)
-    rest = F.regexp_replace(F.regexp_extract(java, r"\.(\d+)E", 1), "^0$", "")
-    power = F.regexp_extract(java, r"E(-?\d+)$", 1).try_cast("int")
-    digits = F.concat(lead, rest)
-    whole = power + 1
-    plain_large = F.when(
-        F.length(digits) <= whole, F.concat(sign, F.rpad(digits, whole, F.lit("0")), F.lit(".0"))
-    ).otherwise(
-        F.concat(sign, F.substring(digits, F.lit(1), whole), F.lit("."), F.substring(digits, whole + 1, F.length(digits)))
-    )
-    exponent = F.abs(power).cast("string")
-    scientific = F.concat(
-        sign,
-        lead,
-        F.when(rest != "", F.concat(F.lit("."), rest)).otherwise(""),
-        F.when(power < 0, "e-").otherwise("e+"),
-        F.lpad(exponent, F.greatest(F.lit(2), F.length(exponent)), F.lit("0")),
-    )
-    return (
-        # Nearly all values end here: no exponent, no Infinity, no NaN.
-        F.when(~java.rlike("[EIN]"), java)
-        .when(java == "Infinity", "inf")
-        .when(java == "-Infinity", "-inf")
-        .when(java == "NaN", null_text())
-        .when(power == -4, F.concat(sign, F.lit("0.000"), digits))
-        .when(power.between(7, 15), plain_large)
-        .otherwise(scientific)
+# Python's notation of a double out of Java's, which has an exponent from 1e7 on and
+# below 1e-3 where Python has one from 1e16 on and below 1e-4. Expressions are SQL
+# texts: on a wide table, building them call by call would take longer than the job.
+_DOUBLE_TEXT = """
+case
+  when not rlike({java}, '[EIN]') then {java}
+  when {java} = 'Infinity' then 'inf'
+  when {java} = '-Infinity' then '-inf'
+  when {java} = 'NaN' then null
+  when {power} = -4 then concat({sign}, '0.000', {digits})
+  when {power} between 7 and 15 and length({digits}) <= {power} + 1
+    then concat({sign}, rpad({digits}, {power} + 1, '0'), '.0')
+  when {power} between 7 and 15
+    then concat({sign}, substring({digits}, 1, {power} + 1), '.', substring({digits}, {power} + 2))
+  else concat({sign}, {lead}, if({rest} = '', '', concat('.', {rest})), if({power} < 0, 'e-', 'e+'),
+    lpad(abs({power}), greatest(2, length(abs({power}))), '0'))
+end"""
+
+
+def double_text_sql(value: str) -> str:
+    java = f"cast({value} as string)"
+    lead = f"regexp_extract({java}, '^-?([0-9])[.]', 1)"
+    rest = f"regexp_replace(regexp_extract({java}, '[.]([0-9]+)E', 1), '^0$', '')"
+    return _DOUBLE_TEXT.format(
+        java=java,
+        lead=lead,
+        rest=rest,
+        digits=f"concat({lead}, {rest})",
+        sign=f"if(startswith({java}, '-'), '-', '')",
+        power=f"try_cast(regexp_extract({java}, 'E(-?[0-9]+)$', 1) as int)",
     )
 
 
-def text_of(value: Column, data_type: T.DataType, separator: str = ";") -> Column:
-    """The text a value has in an export: `True`, `0.2`, `a;b`."""
+def text_sql(value: str, data_type: T.DataType, separator: str = ";") -> str:
+    """SQL for the text a value has in an export: `True`, `0.2`, `a;b`."""
+    if isinstance(data_type, T.StringType):
+        return value
     if isinstance(data_type, T.BooleanType):
-        return F.when(value, "True").when(~value, "False")
+        return f"case when {value} then 'True' when not {value} then 'False' end"
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
-        return text_of_double(value.cast("double"))
+        return double_text_sql(f"cast({value} as double)")
     if isinstance(data_type, T.ArrayType):
-        element = data_type.elementType
-        parts = F.transform(value, lambda item: text_of(item, element))
-        return F.when(F.size(value) > 0, F.array_join(parts, separator))
-    return value.cast("string")
+        parts = f"transform({value}, item -> {text_sql('item', data_type.elementType)})"
+        return f'case when size({value}) > 0 then array_join({parts}, "{separator}") end'
+    return f"cast({value} as string)"
+
+
+def text_of(name: str, data_type: T.DataType) -> Column:
+    """A column as the text it has in an export."""
+    return F.expr(text_sql(quoted(name), data_type))

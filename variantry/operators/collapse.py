@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from variantry.functions.schema import with_source_dataset
-from variantry.functions.text import col
+from variantry.functions.text import col, quoted
 from variantry.names import COLLAPSE_KEYS, ROW_ORDER, SITE_KEYS, SOURCE_DATASET
 from variantry.operators.gather import gather_distinct
 
@@ -25,10 +25,14 @@ def available_keys(df: DataFrame, keys: list[str] = COLLAPSE_KEYS) -> list[str]:
     return present or [key for key in SITE_KEYS if key in df.columns]
 
 
-def joined(values: Column) -> Column:
-    """An array as a cell: null, the only value, or the values joined by `;`."""
-    several = F.filter(values, lambda value: ~value.isin(*UNJOINED))
-    return F.when(F.size(values) <= 1, F.get(values, F.lit(0))).when(F.size(several) > 0, F.array_join(several, ";"))
+def joined(name: str) -> Column:
+    """An array column as a cell: null, the only value, or the values joined by `;`."""
+    values = quoted(name)
+    unjoined = ", ".join(f"'{text}'" for text in UNJOINED)
+    several = f"filter({values}, value -> value not in ({unjoined}))"
+    return F.expr(
+        f"case when size({values}) <= 1 then get({values}, 0) when size({several}) > 0 then array_join({several}, ';') end"
+    )
 
 
 def collapse(
@@ -54,7 +58,7 @@ def collapse(
         cells = gather_distinct(rows, keys, columns, order=order)
         result = cells.select(
             *[
-                col(name) if name in keys else joined(col(name)).alias(name)
+                col(name) if name in keys else joined(name).alias(name)
                 for name in df.columns
                 if name != ROW_ORDER
             ]

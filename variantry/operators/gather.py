@@ -11,8 +11,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from variantry.functions.text import col, text_of
+from variantry.functions.text import col, quoted, text_of, text_sql
 from variantry.names import DATASET_INDEX, ROW_ORDER
 
 GROUP_ROWS = "_group_rows"
@@ -87,7 +88,7 @@ def gather_distinct(
     """
     kinds = {name: df.schema[name].dataType for name in columns}
     if order == "sorted":
-        return _fewer(_gather_sorted(df, keys, columns), fewer_than)
+        return _fewer(_gather_sorted(df, keys, kinds), fewer_than)
     if order != "first":
         raise ValueError(f"unknown order {order!r}")
     by_dataset = DATASET_INDEX in df.columns
@@ -98,7 +99,7 @@ def gather_distinct(
     state = df.select(
         *[col(key) for key in keys],
         *[F.col(name) for name in rank],
-        *[text_of(col(name), kinds[name]).alias(slot) for slot, name in slots.items()],
+        *[text_of(name, kinds[name]).alias(slot) for slot, name in slots.items()],
         F.lit(1).cast("bigint").alias(GROUP_ROWS),
     )
     if bounded:
@@ -128,20 +129,19 @@ def _combine(
 ) -> DataFrame:
     """Merge the rows of each (key, step) in rank order, keeping first appearances."""
     grouped = state.withColumns({f"{name}_next": value for name, value in step.items()}) if step else state
-    rows = F.sort_array(F.collect_list(F.struct(*[F.col(name) for name in rank + slots])))
+    rows = F.expr(f"sort_array(collect_list(struct({', '.join(rank + slots)})))")
     grouped = grouped.groupBy(*[col(key) for key in keys], *[F.col(f"{name}_next").alias(name) for name in step]).agg(
         rows.alias(_ROWS), F.sum(GROUP_ROWS).alias(GROUP_ROWS)
     )
 
     def merged(slot: str) -> Column:
-        values = F.col(_ROWS)[slot]
+        values = f"{_ROWS}.{slot}"
         if fewer_than is not None:
-            values = F.when(F.col(GROUP_ROWS) < fewer_than, values)
+            values = f"if({GROUP_ROWS} < {fewer_than}, {values}, null)"
         if not nested:
-            return F.array_distinct(F.array_compact(values))
+            return F.expr(f"array_distinct(array_compact({values}))")
         # Most groups lie in one block and have nothing to merge.
-        alone = F.size(_ROWS) == 1
-        return F.when(alone, F.get(values, F.lit(0))).otherwise(F.array_distinct(F.flatten(values)))
+        return F.expr(f"if(size({_ROWS}) = 1, get({values}, 0), array_distinct(flatten({values})))")
 
     return grouped.select(
         *[col(key) for key in keys],
@@ -151,9 +151,7 @@ def _combine(
     )
 
 
-def _gather_sorted(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+def _gather_sorted(df: DataFrame, keys: list[str], kinds: dict[str, T.DataType]) -> DataFrame:
     """Sets are merged before the shuffle, so a group sends its distinct values only."""
-    sets = [
-        F.sort_array(F.collect_set(text_of(col(name), df.schema[name].dataType))).alias(name) for name in columns
-    ]
+    sets = [F.expr(f"sort_array(collect_set({text_sql(quoted(name), kind)}))").alias(name) for name, kind in kinds.items()]
     return df.groupBy(*[col(key) for key in keys]).agg(*sets, F.count(F.lit(1)).alias(GROUP_ROWS))

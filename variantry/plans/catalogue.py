@@ -17,7 +17,7 @@ from variantry.functions.schema import (
     with_provenance,
     with_source_dataset,
 )
-from variantry.functions.text import col, text_of_double, tokens
+from variantry.functions.text import col, double_text_sql, tokens
 from variantry.names import COLLAPSE_KEYS, DATASET_INDEX, ROW_COUNT, ROW_ORDER, SITE_KEYS, UNIQUE_KEYS
 from variantry.operators import report, validate
 from variantry.operators.cohort import (
@@ -621,10 +621,10 @@ def source_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("select l_orderkey, cast(l_quantity / 1048576 as varchar) as small, cast(l_quantity * 33554432 as varchar) as large from lineitem")
 def rendered_doubles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select(
+    return table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey",
-        text_of_double(F.col("l_quantity") / 1048576).alias("small"),
-        text_of_double(F.col("l_quantity") * 33554432).alias("large"),
+        f"{double_text_sql('(l_quantity / 1048576)')} as small",
+        f"{double_text_sql('(l_quantity * 33554432)')} as large",
     )
 
 

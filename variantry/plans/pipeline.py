@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from variantry.config import PipelineConfig
 from variantry.functions.predicates import apply_rules
 from variantry.functions.schema import coerce_types, drop_columns, rename_columns, with_provenance
-from variantry.names import COLLAPSE_KEYS, ROW_ORDER, SITE_KEYS
+from variantry.names import COLLAPSE_KEYS, ROW_ORDER, SITE_KEYS, SOURCE_DATASET
 from variantry.operators.cohort import check_cutoff, cohort
 from variantry.operators.collapse import available_keys, collapse
 from variantry.operators.gather import with_row_order
@@ -27,7 +27,14 @@ from variantry.operators.validate import (
 from variantry.sinks import export_tsv, value_types, write_dataset, write_sidecar
 from variantry.sources.files import base_name, stem
 from variantry.sources.lists import read_genes_and_rsids, read_regions
-from variantry.sources.tables import check_inputs, read_dataset, read_datasets, read_delimited, read_sidecar
+from variantry.sources.tables import (
+    check_inputs,
+    number_datasets,
+    read_dataset,
+    read_datasets,
+    read_delimited,
+    read_sidecar,
+)
 
 
 def ingest(
@@ -164,8 +171,15 @@ def run_cohort(
     cutoff: int | None = None,
     tsv: str | None = None,
 ) -> str:
-    """Combine collapsed datasets and store the cohort."""
-    df, names = read_datasets(spark, datasets)
+    """Combine collapsed datasets and store the cohort.
+
+    A single dataset may hold the collapsed rows of many files; each file then counts as
+    a dataset.
+    """
+    if len(datasets) == 1 and SOURCE_DATASET in read_dataset(spark, datasets[0]).columns:
+        df, names = number_datasets(read_dataset(spark, datasets[0]))
+    else:
+        df, names = read_datasets(spark, datasets)
     result = combine(df, names, genes, columns, row_count_only, cutoff)
     record = write_dataset(result, output)
     _amend(

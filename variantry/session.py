@@ -17,6 +17,8 @@ def build_session(app_name: str = "variantry", master: str | None = None, **conf
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # Recording the calling line of every expression slows down building wide plans.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         # Family names such as "007" must come back as text.
         "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
         **conf,

@@ -6,12 +6,12 @@ import json
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from variantry.functions.schema import priority_order
-from variantry.functions.text import col, text_of
+from variantry.functions.text import col, quoted, text_of, text_sql
 from variantry.names import ROW_ORDER, SOURCE_DATASET, SOURCE_DATASET_EXPORTED
 from variantry.sources.tables import SIDECAR
 
@@ -83,12 +83,12 @@ def as_text(df: DataFrame, list_style: str = "joined") -> DataFrame:
     Lists of several values are joined by `;`, or with `list_style="brackets"` written
     as `['a', 'b']`; a list of one value is written as the value.
     """
-    def cell(field: T.StructField):
-        value = col(field.name)
-        if list_style == "brackets" and isinstance(field.dataType, T.ArrayType):
-            listed = F.concat(F.lit("['"), text_of(value, field.dataType, "', '"), F.lit("']"))
-            return F.when(F.size(value) > 1, listed).otherwise(text_of(value, field.dataType))
-        return text_of(value, field.dataType)
+    def cell(field: T.StructField) -> Column:
+        value, kind = quoted(field.name), field.dataType
+        if list_style == "brackets" and isinstance(kind, T.ArrayType):
+            listed = f"""concat("['", {text_sql(value, kind, "', '")}, "']")"""
+            return F.expr(f"if(size({value}) > 1, {listed}, {text_sql(value, kind)})")
+        return text_of(field.name, kind)
 
     return df.select(*[cell(field).alias(field.name) for field in df.schema if field.name != ROW_ORDER])
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from variantry.functions.text import col
+from variantry.functions.text import col, quoted
 from variantry.names import DATASET_INDEX, ROW_ORDER, SOURCE_DATASET
 from variantry.operators.cohort import union_aligned
 from variantry.sources.files import exists, location
@@ -48,12 +48,13 @@ def read_delimited(spark: SparkSession, paths: list[str] | str, separator: str =
     by_header: dict[tuple[str, ...], list[str]] = {}
     for header, path in zip(headers, paths):
         by_header.setdefault(header, []).append(path)
+    nulls = ", ".join(f"'{token}'" for token in NULL_TOKENS)
     scans = []
     for header, group in by_header.items():
         schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
         scan = spark.read.schema(schema).csv(group, sep=separator, header=True, quote='"', escape='"')
         file_name = F.col("_metadata.file_name")
-        cells = [F.when(~col(name).isin(NULL_TOKENS), col(name)).alias(name) for name in header]
+        cells = [F.expr(f"if({quoted(name)} in ({nulls}), null, {quoted(name)})").alias(name) for name in header]
         order = F.monotonically_increasing_id().alias(ROW_ORDER)
         if provenance:
             family = F.split_part(file_name, F.lit("."), F.lit(1))

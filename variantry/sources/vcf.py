@@ -6,10 +6,10 @@ import re
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variantry.functions.text import text_of_double
+from variantry.functions.text import double_text_sql, quoted
 from variantry.names import ROW_ORDER
 
 # Annotation fields that are not plain text.
@@ -69,76 +69,71 @@ def header_lines(spark: SparkSession, path: str) -> list[str]:
         count *= 10
 
 
-def given(text: Column) -> Column:
+# The expressions of a field are SQL texts, since a header may declare hundreds.
+
+
+def given(text: str) -> str:
     """The text, or null if it is empty or a dot."""
-    return F.when(~text.isin("", "."), text)
+    return f"if({text} in ('', '.'), null, {text})"
 
 
-def single(text: Column) -> Column:
+def single(text: str) -> str:
     """A number as single precision stores it, widened."""
-    return text.try_cast("float").cast("double")
+    return f"cast(try_cast({text} as float) as double)"
 
 
-def tuple_text(parts: Column, kind: str) -> Column:
+def tuple_text(parts: str, kind: str) -> str:
     """Several values as `(28, 33)` or `('a',)`, missing ones as `None`."""
-    def item(part: Column) -> Column:
-        if kind == "Integer":
-            shown = part
-        elif kind == "Float":
-            shown = text_of_double(single(part))
-        else:
-            shown = F.concat(F.lit("'"), part, F.lit("'"))
-        return F.when(part.isin("", "."), "None").otherwise(shown)
-
-    inner = F.array_join(F.transform(parts, item), ", ")
-    return F.concat(F.lit("("), inner, F.when(F.size(parts) == 1, ",)").otherwise(")"))
+    shown = {"Integer": "part", "Float": double_text_sql(single("part"))}.get(kind, """concat("'", part, "'")""")
+    items = f"transform({parts}, part -> if(part in ('', '.'), 'None', {shown}))"
+    return f"concat('(', array_join({items}, ', '), if(size({parts}) = 1, ',)', ')'))"
 
 
-def field_value(text: Column, field: Field) -> Column:
+def field_value(text: str, field: Field) -> str:
     """The value of a field in its declared type; several values as a tuple text."""
     if field.name == "GT":
-        return tuple_text(F.split(F.translate(given(text), "|", "/"), "/"), "Integer")
+        return tuple_text(f"split(translate({given(text)}, '|', '/'), '/')", "Integer")
     if field.number != "1":
-        return tuple_text(F.split(given(text), ","), field.kind)
+        return tuple_text(f"split({given(text)}, ',')", field.kind)
     if field.kind == "Integer":
-        return given(text).try_cast("bigint")
+        return f"try_cast({given(text)} as bigint)"
     if field.kind == "Float":
         return single(given(text))
     return given(text)
 
 
-def info_value(entries: Column, field: Field) -> Column:
+def info_value(field: Field) -> str:
     """One INFO field out of the `key=value` entries of a record."""
     prefix = f"{field.name}="
     if field.number == "0":
-        return F.exists(entries, lambda entry: (entry == field.name) | entry.startswith(prefix))
-    hit = F.get(F.filter(entries, lambda entry: entry.startswith(prefix)), F.lit(0))
-    return field_value(F.substring(hit, F.lit(len(prefix) + 1), F.length(hit)), field)
-
-
-def range_text(text: Column) -> Column:
-    """`2872/4335` as `(start: 2872, end: 7207, length: 4335)`."""
-    start = F.split_part(text, F.lit("/"), F.lit(1)).try_cast("bigint")
-    length = F.split_part(text, F.lit("/"), F.lit(2)).try_cast("bigint")
-    end = start + length
-    # Null if either part is no number.
-    return F.concat(
-        F.lit("(start: "), start.cast("string"), F.lit(", end: "), end.cast("string"),
-        F.lit(", length: "), length.cast("string"), F.lit(")"),
-    )
+        return f"exists(_entries, entry -> entry = '{field.name}' or startswith(entry, '{prefix}'))"
+    hit = f"get(filter(_entries, entry -> startswith(entry, '{prefix}')), 0)"
+    return field_value(f"substring({hit}, {len(prefix) + 1})", field)
+
+
+def call_value(field: Field) -> str:
+    """One FORMAT field out of the values of a sample, by its place in the record's format."""
+    return field_value(f"get(_call, cast(array_position(_format, '{field.name}') as int) - 1)", field)
 
 
-def list_text(parts: Column) -> Column:
+def range_text(text: str) -> str:
+    """`2872/4335` as `(start: 2872, end: 7207, length: 4335)`; null if a part is no number."""
+    start = f"try_cast(split_part({text}, '/', 1) as bigint)"
+    length = f"try_cast(split_part({text}, '/', 2) as bigint)"
+    return f"concat('(start: ', {start}, ', end: ', {start} + {length}, ', length: ', {length}, ')')"
+
+
+def list_text(parts: str) -> str:
     """Texts as `['a', 'b']`."""
-    quoted = F.transform(parts, lambda part: F.concat(F.lit("'"), part, F.lit("'")))
-    return F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))
+    return f"""concat('[', array_join(transform({parts}, part -> concat("'", part, "'")), ', '), ']')"""
 
 
-def annotation_value(text: Column, name: str) -> Column:
+def annotation_value(index: int, name: str) -> str:
+    text = f"get(_parts, {index})"
     if name in RANGE_FIELDS:
-        return F.coalesce(range_text(text), given(text))
+        return f"coalesce({range_text(text)}, {given(text)})"
     if name in LIST_FIELDS:
-        return list_text(F.filter(F.split(text, "&"), lambda part: part != ""))
+        return list_text(f"filter(split({text}, '&'), part -> part != '')")
     return given(text)
 
 
@@ -148,63 +143,49 @@ def flatten_vcf(lines: DataFrame, header: VcfHeader, annotation_key: str = "ANN"
     Every alternative allele and every sample of a record gets its own rows. A record
     without annotations gives one row per sample with null annotation fields.
     """
-    fields = F.col("_fields")
-    records = lines.where(~F.col("value").startswith("#") & (F.col("value") != "")).select(
-        F.split("value", "\t").alias("_fields")
-    )
-    text = {name: F.get(fields, F.lit(i)) for i, name in enumerate(("CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT"))}
-    entries = F.split(text["INFO"], ";")
-    annotation = Field(annotation_key, "1", "String")
-    site = records.select(
-        text["CHROM"].alias("CHROM"),
-        text["POS"].try_cast("bigint").alias("POS"),
-        text["REF"].alias("REF"),
-        text["ALT"].alias("_alts"),
-        single(given(text["QUAL"])).alias("QUAL"),
-        list_text(F.filter(F.split(text["FILTER"], ";"), lambda part: part != ".")).alias("FILTER"),
-        given(text["ID"]).alias("ID"),
-        entries.alias("_entries"),
-        F.split(text["FORMAT"], ":").alias("_format"),
-        F.slice(fields, 10, max(len(header.samples), 1)).alias("_samples"),
+    records = lines.where("not startswith(value, '#') and value != ''").select(F.split("value", "\t").alias("_fields"))
+    site = records.selectExpr(
+        "_fields[0] as CHROM",
+        "try_cast(_fields[1] as bigint) as POS",
+        "_fields[3] as REF",
+        "_fields[4] as _alts",
+        f"{single(given('_fields[5]'))} as QUAL",
+        f"{list_text("filter(split(_fields[6], ';'), part -> part != '.')")} as FILTER",
+        f"{given('_fields[2]')} as ID",
+        "split(_fields[7], ';') as _entries",
+        "split(get(_fields, 8), ':') as _format",
+        f"slice(_fields, 10, {max(len(header.samples), 1)}) as _samples",
     )
-    info = {f"INFO['{field.name}']": info_value(F.col("_entries"), field) for field in header.info}
+    info = {f"INFO['{field.name}']": info_value(field) for field in header.info}
     if "INFO['END']" in info:
-        info["INFO['END']"] = F.coalesce(info["INFO['END']"], F.col("POS") + F.length("REF") - 1)
-    site = site.select(
-        "CHROM", "POS", "REF", "_alts", "QUAL", "FILTER", "ID", "_format", "_samples",
-        *[value.alias(name) for name, value in info.items()],
-        info_value(F.col("_entries"), annotation).alias("_annotations"),
+        info["INFO['END']"] = f"coalesce({info["INFO['END']"]}, POS + length(REF) - 1)"
+    site = site.selectExpr(
+        "CHROM", "POS", "REF", "QUAL", "FILTER", "ID", "_format", "_samples",
+        *[f"{value} as {quoted(name)}" for name, value in info.items()],
+        f"{info_value(Field(annotation_key, '1', 'String'))} as _annotations",
+        "explode(split(_alts, ',')) as ALT",
     )
-    called = site.select("*", F.explode(F.split("_alts", ",")).alias("ALT")).drop("_alts")
     if header.samples:
         names = F.array(*[F.lit(name) for name in header.samples])
-        called = called.select("*", F.posexplode("_samples").alias("_sample", "_call")).withColumn(
-            "SAMPLE", F.get(names, F.col("_sample"))
+        called = site.select("*", F.posexplode("_samples").alias("_sample", "_values")).withColumns(
+            {"SAMPLE": F.get(names, F.col("_sample")), "_call": F.split("_values", ":")}
         )
     else:
-        called = called.withColumns({"SAMPLE": F.lit(None).cast("string"), "_call": F.lit("")})
-    called = called.withColumn("_call", F.split("_call", ":"))
-
-    def call(field: Field) -> Column:
-        return field_value(F.get(F.col("_call"), F.array_position("_format", field.name).cast("int") - 1), field)
-
-    formats = {f"FORMAT['{field.name}']": call(field) for field in header.format}
+        called = site.withColumns({"SAMPLE": F.lit(None).cast("string"), "_call": F.array().cast("array<string>")})
+    formats = {f"FORMAT['{field.name}']": call_value(field) for field in header.format}
     fixed = ["SAMPLE", "CHROM", "POS", "REF", "ALT", "QUAL", "FILTER", "ID"]
-    called = called.select(
+    annotated = called.selectExpr(
         *fixed,
-        *[F.col(f"`{name}`") for name in info],
-        *[value.alias(name) for name, value in formats.items()],
-        F.explode_outer(F.split("_annotations", ",")).alias("_annotation"),
+        *[quoted(name) for name in info],
+        *[f"{value} as {quoted(name)}" for name, value in formats.items()],
+        "explode_outer(split(_annotations, ',')) as _annotation",
     ).withColumn("_parts", F.split("_annotation", r"\|"))
-    annotations = {
-        f"ANN['{name}']": annotation_value(F.get(F.col("_parts"), F.lit(i)), name)
-        for i, name in enumerate(header.annotation)
-    }
-    return called.select(
+    annotations = {f"ANN['{name}']": annotation_value(i, name) for i, name in enumerate(header.annotation)}
+    return annotated.selectExpr(
         *fixed,
-        *[F.col(f"`{name}`") for name in [*info, *formats]],
-        *[value.alias(name) for name, value in annotations.items()],
-        F.monotonically_increasing_id().alias(ROW_ORDER),
+        *[quoted(name) for name in [*info, *formats]],
+        *[f"{value} as {quoted(name)}" for name, value in annotations.items()],
+        f"monotonically_increasing_id() as {ROW_ORDER}",
     )
 
 
