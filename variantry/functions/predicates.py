@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from variantry.config import ORDERING, ConfigError, Rule
 from variantry.functions.schema import resolve
-from variantry.functions.text import as_number, col, is_missing
+from variantry.functions.text import as_number, as_truth, col, is_missing
 
 _COMPARE = {"<": operator.lt, "<=": operator.le, ">": operator.gt, ">=": operator.ge}
 
@@ -25,7 +25,7 @@ def _comparable(df: DataFrame, name: str, rule: Rule, frequency: bool) -> Column
     """The column in the type of the rule's values."""
     values = rule.values
     if any(isinstance(value, bool) for value in values):
-        return col(name).try_cast("boolean")
+        return as_truth(df, name)
     if frequency or all(isinstance(value, (int, float)) for value in values):
         return as_number(df, name)
     return col(name).cast("string")

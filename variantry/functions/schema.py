@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from variantry.functions.text import as_number, col, is_missing
+from variantry.functions.text import as_number, as_truth, as_whole_number, col
 from variantry.names import SOURCE_DATASET
 
 
@@ -17,18 +17,14 @@ def rename_columns(df: DataFrame, renames: dict[str, str]) -> DataFrame:
 
 def typed(df: DataFrame, name: str, dtype: str) -> Column:
     """One column under a declared type; missing or unreadable becomes 0, null or false."""
-    value = col(name)
     if dtype == "int64":
         truncated = as_number(df, name).try_cast("bigint")
-        return F.coalesce(value.try_cast("bigint"), truncated, F.lit(0).cast("bigint"))
+        return F.coalesce(as_whole_number(df, name), truncated, F.lit(0).cast("bigint"))
     if dtype == "float64":
         return as_number(df, name)
     if dtype in ("bool", "boolean"):
-        if isinstance(df.schema[name].dataType, T.BooleanType):
-            return F.coalesce(value, F.lit(False))
-        truth = F.when(~is_missing(value), F.trim(value.cast("string")).try_cast("boolean"))
-        return F.coalesce(truth, F.lit(False))
-    return value
+        return F.coalesce(as_truth(df, name), F.lit(False))
+    return col(name)
 
 
 def coerce_types(df: DataFrame, dtypes: dict[str, str]) -> DataFrame:

@@ -23,20 +23,36 @@ def col(name: str) -> Column:
     return F.col(quoted(name))
 
 
-def number(value: Column) -> Column:
-    """The value as a double; whatever is not a number, NaN included, becomes null."""
-    # Java reads "1.5f" and "2d" as numbers, a data file does not mean them so.
-    text = F.when(~value.cast("string").rlike(r"[0-9.][dDfF]\s*$"), value.cast("string"))
-    parsed = text.try_cast("double")
-    return F.when(~F.isnan(parsed), parsed)
+# A cast that fails costs an exception per cell, so texts are matched first. The
+# patterns also keep out "1.5f" and "2d", which Java reads as numbers.
+NUMBER = r"^\s*[-+]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][-+]?[0-9]+)?\s*$|^\s*[-+]?([iI]nf|[iI]nfinity)\s*$"
+WHOLE_NUMBER = r"^\s*[-+]?[0-9]{1,19}\s*$"
+TRUE_TEXTS = ("t", "true", "y", "yes", "1")
+FALSE_TEXTS = ("f", "false", "n", "no", "0")
 
 
 def as_number(df: DataFrame, name: str) -> Column:
-    """A column as a double, going through text only when it is text."""
-    if isinstance(df.schema[name].dataType, T.StringType):
-        return number(col(name))
+    """A column as a double; whatever is not a number, NaN included, becomes null."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.StringType):
+        return F.when(col(name).rlike(NUMBER), col(name)).try_cast("double")
     value = col(name).try_cast("double")
-    return F.when(~F.isnan(value), value)
+    return F.when(~F.isnan(value), value) if isinstance(kind, (T.DoubleType, T.FloatType)) else value
+
+
+def as_whole_number(df: DataFrame, name: str) -> Column:
+    """A column as a whole number; null where a text is anything else."""
+    if isinstance(df.schema[name].dataType, T.StringType):
+        return F.when(col(name).rlike(WHOLE_NUMBER), col(name)).try_cast("bigint")
+    return col(name).try_cast("bigint")
+
+
+def as_truth(df: DataFrame, name: str) -> Column:
+    """A column as a boolean; null where a text means neither."""
+    if isinstance(df.schema[name].dataType, T.BooleanType):
+        return col(name)
+    text = F.lower(F.trim(col(name).cast("string")))
+    return F.when(text.isin(*TRUE_TEXTS), True).when(text.isin(*FALSE_TEXTS), False)
 
 
 def is_missing(value: Column) -> Column:

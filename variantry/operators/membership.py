@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from variantry.functions.text import col, tokens
+from variantry.functions.text import as_number, as_whole_number, col, tokens
 from variantry.names import SYMBOL
 
 IN_REGION = "_in_region"
@@ -96,12 +96,9 @@ def chromosome(value: Column) -> Column:
 
 def position(df: DataFrame, name: str = "POS") -> Column:
     """The position as a whole number; null where the cell holds anything else."""
-    kind = df.schema[name].dataType
-    if isinstance(kind, T.IntegralType):
-        return col(name).cast("bigint")
-    if isinstance(kind, (T.DoubleType, T.FloatType)):
-        return F.when(~F.isnan(col(name)), col(name)).try_cast("bigint")
-    return F.when(col(name).cast("string").rlike(r"^\s*[-+]?\d+\s*$"), col(name)).try_cast("bigint")
+    if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+        return as_number(df, name).try_cast("bigint")
+    return as_whole_number(df, name)
 
 
 def region_bins(regions: DataFrame) -> DataFrame:

@@ -59,7 +59,8 @@ def value_types(written: DataFrame, types: dict[str, T.DataType]) -> dict[str, s
     if not candidates:
         return {}
     misfits = [
-        F.count_if(col(name).isNotNull() & col(name).try_cast(kind).isNull()).alias(str(i))
+        # Joined cells are told by their separator, before a cast that would fail.
+        F.count_if(col(name).contains(";") | (col(name).isNotNull() & col(name).try_cast(kind).isNull())).alias(str(i))
         for i, (name, kind) in enumerate(candidates.items())
     ]
     counts = written.agg(*misfits).first()

@@ -117,10 +117,12 @@ def call_value(field: Field) -> str:
 
 
 def range_text(text: str) -> str:
-    """`2872/4335` as `(start: 2872, end: 7207, length: 4335)`; null if a part is no number."""
+    """`2872/4335` as `(start: 2872, end: 7207, length: 4335)`; null for other texts."""
     start = f"try_cast(split_part({text}, '/', 1) as bigint)"
     length = f"try_cast(split_part({text}, '/', 2) as bigint)"
-    return f"concat('(start: ', {start}, ', end: ', {start} + {length}, ', length: ', {length}, ')')"
+    shown = f"concat('(start: ', {start}, ', end: ', {start} + {length}, ', length: ', {length}, ')')"
+    # Matched first, as a cast that fails costs an exception.
+    return f"if(rlike({text}, '^[0-9]+/[0-9]+$'), {shown}, null)"
 
 
 def list_text(parts: str) -> str:
