@@ -38,8 +38,8 @@ def code_points(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(text: pa.Array, size: int) -> Iterator[pa.Array]:
-    """The batch in slices of about `size` bytes; a longer text is a slice of its own."""
-    text = filled(text)
+    """The batch in slices of about `size` bytes; a longer text is a slice of its own. Binary values stay binary."""
+    text = text if pa.types.is_large_binary(text.type) else filled(text)
     if not len(text):
         yield text
         return

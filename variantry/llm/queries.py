@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from variantry.llm import urls
+from variantry.llm.bpe import round_trip
 from variantry.llm.exact import duplicate_groups
+from variantry.llm.mix import mixed_sizes
 from variantry.llm.simhash import near_duplicates
 
 
@@ -14,20 +19,92 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+# The rules on urls (host, path, verdict).
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+#: Names of sites whose pages are listed for blocking.
+LISTED_SITES = ("spam-farm", "adult-x", "free-bets")
+
+
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of the listed sites are the list; their canonical forms also catch other addresses of the same pages."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    labels = F.split(urls.host_of(F.col("url")), r"\.")
+    listed = pages.select("url").where(F.arrays_overlap(labels, F.array(*map(F.lit, LISTED_SITES))))
+    return urls.judge(pages, spark.createDataFrame(URL_RULES, urls.RULE), listed)
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
 
+def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed_sizes(documents(spark, sf_dir))
+
+
+def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_groups(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_filters": op1_url_filters,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op7_mix_sources": op7_mix_sources,
+    "op8_bpe_round_trip": op8_bpe_round_trip,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 ORACLES: dict[str, str] = {
+    "op1_url_filters": r"""
+with parts as (
+  select page_id, lower(coalesce(regexp_extract(url, '://([^/?#]*)', 1), '')) as host,
+    coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') as path
+  from pages),
+rules(rule_host, rule_path, verdict) as (values ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
+  ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+fitting as (
+  select page_id, host, path, rule_host || rule_path as rule, verdict
+  from parts left join rules on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)
+  qualify row_number() over (partition by page_id order by length(rule) desc nulls last) = 1)
+select page_id, host, path, rule,
+  coalesce(verdict, case when regexp_matches(host, '(^|[.])(spam-farm|adult-x|free-bets)([.]|$)') then 'block' else 'allow' end)
+    as verdict
+from fitting
+""",
+    "op7_mix_sources": r"""
+with sized as (
+  select doc_id, source, length(regexp_replace(coalesce(text, ''), '[^\x20\x09-\x0D]+', 'x', 'g'))
+      - length(regexp_replace(coalesce(text, ''), '[^\x20\x09-\x0D]+', '', 'g')) as size,
+    md5(concat(coalesce(doc_id::varchar, ''), ':', coalesce(text, ''))) as digest
+  from documents),
+sources as (
+  select source, sum(size)::bigint as source_size, row_number() over (order by source nulls last) as turn from sized group by source),
+weighted as (select *, (turn - 1) % 3 + 1 as weight from sources),
+levels as (
+  select *, (sum(source_size) over () - 3 * coalesce(sum(source_size) over earlier, 0))::double
+      / (sum(weight) over () - coalesce(sum(weight) over earlier, 0))::double as level
+  from weighted
+  window earlier as (order by source_size::double / weight::double, turn rows between unbounded preceding and 1 preceding)),
+targets as (select source, source_size, least((3 * source_size)::double, weight * max(level) over ()) as target from levels),
+placed as (
+  select doc_id, size, source_size, target, case when source_size > 0 then target / source_size else 0 end as rate,
+    (row_number() over (partition by s.source
+      order by length(size::varchar) * 100 + substr(size::varchar, 1, 2)::int, substr(digest, 1, 2), size, digest))::double as place,
+    ('0x' || substr(md5(concat('20:', coalesce(s.source, ''))), 1, 8))::bigint::double / 4294967296 as shift
+  from sized s join targets t on s.source is not distinct from t.source)
+select doc_id, size, source_size, target,
+  (size * (floor(place * rate + shift) - floor((place - 1) * rate + shift)))::bigint as taken
+from placed
+""",
     "op10_exact_dedup": r"""
 with texts as (
   select doc_id, length(coalesce(text, '')) as n_chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') as norm
