@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variantry.llm import urls
+from variantry.llm import language, lm, quality, toxicity, urls
 from variantry.llm.bpe import round_trip
 from variantry.llm.exact import duplicate_groups
 from variantry.llm.mix import mixed_sizes
 from variantry.llm.simhash import near_duplicates
+from variantry.llm.words import id_remainder
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,10 +40,35 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, spark.createDataFrame(URL_RULES, urls.RULE), listed)
 
 
+def _held_out(parts: int, remainder: int) -> Column:
+    return id_remainder(F.col("doc_id"), parts) == remainder
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = _held_out(4, 2)
+    model = language.fit(docs.where(~held_out))
+    return language.identify(docs, model).withColumn("held_out", held_out)
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = _held_out(10, 0)
+    model, rare = lm.fit(docs.where(~held_out))
+    return lm.score(docs, model, rare).withColumn("held_out", held_out)
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    held_out = _held_out(5, 0)
+    model = toxicity.fit(docs, labels.where(~held_out))
+    return toxicity.classify(docs, model).withColumn("held_out", held_out)
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_sizes(documents(spark, sf_dir))
 
@@ -51,15 +77,23 @@ def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(documents(spark, sf_dir))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_groups(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
+    "op2_language_id": op2_language_id,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_lm_scoring": op4_lm_scoring,
+    "op5_toxicity": op5_toxicity,
     "op7_mix_sources": op7_mix_sources,
     "op8_bpe_round_trip": op8_bpe_round_trip,
+    "op9_quality_rules": op9_quality_rules,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
