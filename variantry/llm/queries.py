@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variantry.llm import language, lm, quality, toxicity, urls
+from variantry.llm import language, licenses, lm, quality, toxicity, urls
 from variantry.llm.bpe import round_trip
 from variantry.llm.exact import duplicate_groups
 from variantry.llm.mix import mixed_sizes
@@ -69,6 +69,12 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(docs, model).withColumn("held_out", held_out)
 
 
+def op6_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's best licence and how many of its lines name one."""
+    lines = F.filter("matches", lambda match: match["unit"] == "line")
+    return licenses.scan(documents(spark, sf_dir)).select("doc_id", "license", "dice", F.size(lines).alias("license_lines"))
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_sizes(documents(spark, sf_dir))
 
@@ -91,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_lm_scoring": op4_lm_scoring,
     "op5_toxicity": op5_toxicity,
+    "op6_license_scans": op6_license_scans,
     "op7_mix_sources": op7_mix_sources,
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_quality_rules": op9_quality_rules,
