@@ -2,11 +2,23 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
+
+BATCH_BYTES = 16 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches() -> None:
+    """Lets Arrow batches of long texts hold BATCH_BYTES at most, in this session, unless it has a lower bound."""
+    spark = SparkSession.active()
+    if int(re.sub(r"\D", "", spark.conf.get(BATCH_SETTING))) > BATCH_BYTES:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
 
 
 def filled(text: pa.Array) -> pa.LargeStringArray:

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from variantry.llm.arrow_text import bound_batches
 from variantry.llm.ngrams import grams, sums
 
 WIDTHS = (1, 2, 3)
@@ -54,6 +55,7 @@ def _sampled(labelled: DataFrame, sample: int) -> tuple[DataFrame, dict[str, int
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> LanguageModel:
     """Learns from the rows of `docs` with a text and a language."""
+    bound_batches()
     labelled = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     chosen, rows = _sampled(labelled.where("text is not null and lang is not null"), sample)
     languages = list(rows)
@@ -108,3 +110,10 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     """One row per row of `docs`: its id, lang_pred and score."""
     made = docs.select(F.col(id_col), predict(docs, model, F.col(text_col)).alias("made"))
     return made.select(id_col, F.col("made.lang").alias("lang_pred"), F.col("made.score").alias("score"))
+
+
+def keep_identified(docs: DataFrame, model: LanguageModel, least: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of `docs` whose language is known with a score of at least `least`, with all their columns."""
+    whole = docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("doc"))
+    made = whole.select("doc", predict(docs, model, F.col(f"doc.`{text_col}`")).alias("made"))
+    return made.where((F.col("made.lang") != UNKNOWN) & (F.col("made.score") >= least)).select("doc.*")

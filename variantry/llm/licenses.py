@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from variantry.llm.arrow_text import slices
+from variantry.llm.arrow_text import bound_batches, slices
 
 THRESHOLD = 0.8
 MAX_TEMPLATES = 1_000
@@ -137,6 +137,7 @@ def found(text: Column, templates: Mapping[str, str] = TEMPLATES, threshold: flo
                 out += rows
             yield pa.array(out, kind)
 
+    bound_batches()
     return F.arrow_udf(compute, MATCH)(text)
 
 

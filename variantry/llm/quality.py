@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from variantry.llm.arrow_text import slices, word_lists
+from variantry.llm.arrow_text import bound_batches, slices, word_lists
 from variantry.llm.suffixes import repeats, union_lengths
 
 LEAST = 5
@@ -77,6 +77,7 @@ def measured(text: Column, least: int = LEAST) -> Column:
             columns = [pa.array(np.concatenate(column).astype(np.int64)) for column in zip(*parts, strict=True)]
             yield pa.StructArray.from_arrays(columns, names=list(MEASURES))
 
+    bound_batches()
     return F.arrow_udf(compute, ", ".join(f"{name} long" for name in MEASURES))(text)
 
 

@@ -24,7 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from variantry.llm.arrow_text import slices
+from variantry.llm.arrow_text import bound_batches, slices
+from variantry.llm.bitmap import WORDS, bitmap, marked
 from variantry.llm.components import components
 from variantry.llm.simhash_bits import fingerprints
 from variantry.llm.store import stored
@@ -45,6 +46,7 @@ def fingerprint(text: Column, width: int = SHINGLE_WORDS) -> Column:
             parts = [fingerprints(part, width) for part in slices(batch, SLICE_BYTES)]
             yield pa.concat_arrays([pa.array(part.view("int64")) for part in parts])
 
+    bound_batches()
     return F.arrow_udf(compute, "long")(text)
 
 
@@ -94,6 +96,14 @@ def close_links(prints: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
     return stars.select(F.col("node").alias("a"), F.col("root").alias("b")).union(joined.select("a", "b"))
 
 
+def _grouped(prints: DataFrame, distance: int) -> DataFrame:
+    """Each distinct fingerprint of `prints` (id, print) with its smallest id, number of rows and root fingerprint."""
+    smallest = prints.groupBy("print").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"))
+    roots = components(close_links(smallest, distance))
+    grouped = smallest.join(roots, F.col("print") == F.col("node"), "left")
+    return stored(grouped.select("print", "id", "n", F.coalesce("root", "print").alias("root")), "grouped")
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE_WORDS,
     distance: int = MAX_DISTANCE,
@@ -103,12 +113,32 @@ def near_duplicates(
     component_id is the smallest id that links of at most `distance` bits reach, null if all of them are null.
     """
     prints = stored(docs.select(F.col(id_col).alias("id"), fingerprint(F.col(text_col), width).alias("print")), "prints")
-    smallest = prints.groupBy("print").agg(F.min("id").alias("id"))
-    roots = components(close_links(smallest, distance))
-    grouped = smallest.join(roots, F.col("print") == F.col("node"), "left")
-    grouped = stored(grouped.select("print", "id", F.coalesce("root", "print").alias("root")), "grouped")
+    grouped = _grouped(prints, distance)
     classes = stored(grouped.groupBy("root").agg(F.min("id").alias("component_id")), "classes")
     named = stored(grouped.join(classes, "root").select("print", "component_id"), "named")
     return prints.join(named, "print").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def keep_one(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE_WORDS,
+    distance: int = MAX_DISTANCE, words: int = WORDS,
+) -> DataFrame:
+    """The row with the smallest id (null last) of each component, with all its columns.
+
+    Rows whose fingerprint has no other row in its component stay where they are, found by a fixed-size bitmap of the
+    fingerprints that have; only the texts of the others are shuffled, combined by component in each task.
+    """
+    whole = docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("doc"))
+    printed = whole.select("doc", fingerprint(F.col(f"doc.`{text_col}`"), width).alias("print"))
+    grouped = _grouped(stored(printed.select(F.col(f"doc.`{id_col}`").alias("id"), "print"), "prints"), distance)
+    several = grouped.groupBy("root").agg(F.sum("n").alias("rows")).where("rows > 1").select("root")
+    several = stored(grouped.join(several, "root").select("print", "root"), "several")
+    parted = marked(printed, "print", bitmap(several.select(F.col("print").alias("key")), words), "shared", words)
+    found = parted.where("shared").join(several.withColumnRenamed("print", "several_print"), F.col("print") == F.col("several_print"), "left")
+    doc_id = F.col(f"doc.`{id_col}`")
+    order = F.struct(-doc_id.isNull().cast("int"), -doc_id)
+    kept = found.where("root is not null").groupBy("root").agg(F.max_by("doc", order).alias("doc"))
+    alone = parted.where("not shared").select("doc").union(found.where("root is null").select("doc"))
+    return alone.union(kept.select("doc")).select("doc.*")

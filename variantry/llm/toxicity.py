@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from variantry.llm.arrow_text import bound_batches
 from variantry.llm.ngrams import grams, sums
 
 WIDTHS = (4,)
@@ -74,6 +75,7 @@ def fit(
     sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS,
 ) -> ToxicityModel:
     """Learns from the texts of `docs` whose ids `labels` marks 0 or 1."""
+    bound_batches()
     marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic")).where("id is not null").distinct()
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(F.length(text_col), F.lit(0)).alias("n"))
     short = texts.where(F.col("n") <= sample_chars)
