@@ -4,7 +4,10 @@ import hashlib
 import struct
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -19,11 +22,21 @@ def tokenizer():
     return Tokenizer.from_file(PATH)
 
 
+def fast_words(text):
+    return Splitter([]).words(pa.array([text], pa.large_string()))[0].to_pylist()
+
+
 def test_words_of_every_character():
     splitter = Splitter([])
     for start in range(0, 0x110000, 64):
         text = "".join(f"a{chr(c)}a  {chr(c)}1!'{chr(c)} " for c in range(start, start + 64) if not 0xD800 <= c < 0xE000)
-        assert splitter.words(text) == [text[a:b] for _, (a, b) in splitter.exact(text)], hex(start)
+        assert fast_words(text) == splitter.slow(text), hex(start)
+
+
+@given(st.text(st.sampled_from("ab1'!\n\t \u00a0é²srevltmd"), max_size=40))
+@settings(max_examples=1500, deadline=None)
+def test_words_of_mixed_characters(text):
+    assert fast_words(text) == Splitter([]).slow(text)
 
 
 @pytest.mark.parametrize("block_bytes,shards", [(1 << 22, 256), (64, 3)])

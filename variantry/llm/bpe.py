@@ -19,10 +19,11 @@ Null texts count as empty and give no ids. Special tokens written out in a text
 from __future__ import annotations
 
 import json
-import re
+import os
 import unicodedata
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,59 +35,111 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from variantry.llm.arrow_text import slices
+from variantry.llm.arrow_text import bound_batches, slices
 
 BLOCK_BYTES = 4 << 20
-SHARDS = 256
+SHARDS = 128
+ENCODED_AT_ONCE = 1_000
 #: Fixed value: the pattern by which byte-level BPE parts a text into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+LETTER, NUMBER, SPACE, OTHER, UNKNOWN = range(5)
+
+
 @cache
-def _unassigned() -> str:
-    """Ranges of the characters that Python's tables of Unicode leave open."""
-    open_ = [unicodedata.category(chr(c)) == "Cn" for c in range(0x110000)]
-    edges = [c for c in range(1, 0x110000) if open_[c] != open_[c - 1]] + [0x110000]
-    return "".join(f"{chr(a)}-{chr(b - 1)}" for a, b in zip(edges[::2], edges[1::2], strict=False))
+def _classes() -> np.ndarray:
+    """The class of every character. UNKNOWN ones are not in Python's tables of Unicode, but may be in newer ones."""
+    kinds = {"L": LETTER, "N": NUMBER}
+    table = np.full(0x110000, OTHER, np.uint8)
+    for c in range(0x110000):
+        category = unicodedata.category(chr(c))
+        table[c] = UNKNOWN if category == "Cn" else kinds.get(category[0], OTHER)
+    space = regex.compile(r"\s")
+    table[[c for c in range(0x3001) if space.match(chr(c))]] = SPACE
+    return table
+
+
+def _points(data: bytes) -> np.ndarray:
+    return np.frombuffer(data.decode("utf-8").encode("utf-32-le"), np.uint32)
 
 
 class Splitter:
     """Parts texts into words; special tokens are words of their own.
 
-    `regex` and the tokenizer may know different versions of Unicode. Texts with characters that are not in
-    Python's own, older tables are parted by the tokenizer's splitter, which is slower.
+    The boundaries that PATTERN sets are found from the classes of neighbouring characters, for a block of texts at once.
+    Texts with a special token or an unknown character are parted by the tokenizer's own splitter, which is slower.
     """
 
     def __init__(self, special: list[str]):
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.special = special
-        self.fast = regex.compile(PATTERN).findall
-        self.unknown = re.compile(f"[{_unassigned()}]").search
         self.exact = ByteLevel(add_prefix_space=False, use_regex=True).pre_tokenize_str
         self.around = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
 
-    def words(self, text: str) -> list[str]:
-        if not text.isascii() and self.unknown(text):
-            return [text[a:b] for _, (a, b) in self.exact(text)]
-        return self.fast(text)
-
-    def split(self, text: str) -> list[str]:
-        if self.around is None or not any(token in text for token in self.special):
-            return self.words(text)
+    def slow(self, text: str) -> list[str]:
+        """The words of one text."""
         found = []
-        for i, part in enumerate(self.around.split(text)):
-            found += [part] if i % 2 else self.words(part)
-        return found
+        for i, part in enumerate(self.around.split(text) if self.around else [text]):
+            found += [part] if i % 2 else [part[a:b] for _, (a, b) in self.exact(part)]
+        return [word for word in found if word]
+
+    def boundaries(self, points: np.ndarray, kind: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Whether a word starts at each character; texts start at `starts`."""
+        n = len(points)
+        first = np.zeros(n + 1, bool)
+        first[starts] = True
+        run = first[:n].copy()
+        run[1:] |= kind[1:] != kind[:-1]
+        word = run.copy()
+        space, blank = kind == SPACE, points == 32
+        # White space before something else keeps its last character apart, and a blank there joins what follows.
+        before = np.flatnonzero(space[:-1] & ~space[1:] & ~first[1:n])
+        word[before] = True
+        word[before[blank[before]] + 1] = False
+        # An apostrophe that starts a word takes a known ending with it.
+        quote = np.flatnonzero((points == 39) & word)
+        quote = quote[(quote + 1 < n) & ~first[np.minimum(quote + 1, n)]]
+        after = points[quote + 1]
+        third = np.where((quote + 2 < n) & ~first[np.minimum(quote + 2, n)], points[np.minimum(quote + 2, n - 1)], 0)
+        one = np.isin(after, [ord(c) for c in "stmd"])
+        two = ((after == ord("r")) | (after == ord("v"))) & (third == ord("e")) | (after == ord("l")) & (third == ord("l"))
+        word[quote[one | two] + 1] = False
+        ends = quote[one | two] + np.where(one[one | two], 2, 3)
+        word[ends[ends < n]] |= kind[ends[ends < n]] == LETTER
+        return word
+
+    def words(self, text: pa.LargeStringArray) -> tuple[pa.LargeStringArray, np.ndarray]:
+        """All words of all texts in a row, and where each text's words start."""
+        lengths, data = _bytes_of(text)
+        points = _points(data)
+        n = len(points)
+        at = np.concatenate(([0], np.cumsum(1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000))))
+        starts = np.searchsorted(at, np.concatenate(([0], np.cumsum(lengths.astype(np.int64)))))
+        if not n:
+            return pa.array([], pa.large_string()), np.zeros(len(lengths) + 1, np.int64)
+        kind = _classes()[points]
+        word = self.boundaries(points, kind, starts)
+        slow = np.zeros(len(text), bool)
+        for token in self.special:
+            slow |= pc.match_substring(text, token).to_numpy(zero_copy_only=False)
+        if (kind == UNKNOWN).any():
+            unknown = np.concatenate(([0], np.cumsum(kind == UNKNOWN)))
+            slow |= unknown[starts[1:]] > unknown[starts[:-1]]
+        for i in np.flatnonzero(slow):
+            word[starts[i] : starts[i + 1]] = False
+            word[starts[i] + np.cumsum([0, *map(len, self.slow(text[i].as_py()))])[:-1]] = True
+        cuts = np.flatnonzero(word)
+        offsets = np.append(at[cuts], at[-1])
+        words = pa.LargeStringArray.from_buffers(len(cuts), pa.py_buffer(offsets.tobytes()), pa.py_buffer(data))
+        return words, np.searchsorted(cuts, starts)
 
     def block(self, text: pa.LargeStringArray) -> tuple[pa.LargeStringArray, np.ndarray, np.ndarray]:
         """The distinct words of a block, the index of each word among them, and where each text's words start."""
-        words, starts = [], [0]
-        for value in text.to_pylist():
-            words += self.split(value)
-            starts.append(len(words))
-        coded = pa.array(words, pa.large_string()).dictionary_encode()
-        return coded.dictionary, coded.indices.to_numpy(), np.array(starts)
+        words, starts = self.words(text)
+        coded = words.dictionary_encode()
+        return coded.dictionary, coded.indices.to_numpy(), starts
 
 
 def read_vocabulary(path: str) -> tuple[str, list[str], list[bytes]]:
@@ -147,13 +200,33 @@ def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.repeat(starts - before, counts) + np.arange(counts.sum())
 
 
+@lru_cache(maxsize=1)
+def _tokenizer(content: str):
+    """The tokenizer, once per Python worker; Spark has one task per core, so it needs no threads of its own."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_str(content)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return tokenizer
+
+
+def _runs(values: np.ndarray) -> list[tuple[int, int]]:
+    """Where runs of equal values start and end."""
+    cuts = np.flatnonzero(values[1:] != values[:-1]) + 1
+    return list(zip([0, *cuts.tolist()], [*cuts.tolist(), len(values)], strict=True)) if len(values) else []
+
+
 def encode(
     docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES,
     shards: int = SHARDS,
 ) -> DataFrame:
     """One row per row of `docs`: its id, and ids: little-endian unsigned 32-bit numbers, as binary."""
+    bound_batches()
     spark = docs.sparkSession
-    content, special, _ = read_vocabulary(vocabulary)
+    content, special, pieces = read_vocabulary(vocabulary)
+    width = np.uint16 if len(pieces) <= 1 << 16 else np.uint32
     model = spark.sparkContext.broadcast(content)
     named = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     id_type = named.schema["id"].dataType
@@ -192,23 +265,30 @@ def encode(
                 )
 
     def answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_str(model.value)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
+        tokenizer = _tokenizer(model.value)
         table: dict[str, list[int]] = {}
         current = None
         for batch in batches:
+            shard = batch.column("shard").to_numpy()
             packed = []
-            for shard, words in zip(batch.column("shard").to_pylist(), batch.column("words").to_pylist(), strict=True):
-                if shard != current:
-                    table, current = {}, shard
-                asked = _strings(*_unpack(words)).to_pylist()
-                new = [word for word in asked if word not in table]
-                table |= zip(new, (e.ids for e in tokenizer.encode_batch_fast(new, add_special_tokens=False)), strict=True)
-                found = [table[word] for word in asked]
-                packed.append(_pack(np.fromiter(map(len, found), np.uint32, len(found)), np.array([i for ids in found for i in ids], np.uint32)))
+            for at, to in _runs(shard):
+                if shard[at] != current:
+                    table, current = {}, shard[at]
+                asked = [_strings(*_unpack(words)) for words in batch.column("words").slice(at, to - at).to_pylist()]
+                coded = pa.concat_arrays(asked).dictionary_encode()
+                distinct, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+                new = [word for word in distinct if word not in table]
+                for first in range(0, len(new), ENCODED_AT_ONCE):
+                    part = new[first : first + ENCODED_AT_ONCE]
+                    table |= zip(part, (e.ids for e in tokenizer.encode_batch_fast(part, add_special_tokens=False)), strict=True)
+                found = [table[word] for word in distinct]
+                counts = np.fromiter(map(len, found), np.int64, len(found))
+                pool = np.fromiter(chain.from_iterable(found), np.uint32, counts.sum())
+                heads, bounds = np.cumsum(counts) - counts, np.cumsum([0, *map(len, asked)])
+                for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                    here = codes[a:b]
+                    ids = pool[_spread(heads[here], counts[here])]
+                    packed.append(_pack(counts[here].astype(np.uint32), ids.astype(width)))
             yield pa.record_batch([batch.column("block"), batch.column("shard"), pa.array(packed, pa.binary())], names=["block", "shard", "ids"])
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,7 +310,7 @@ def encode(
                     sizes, values = _unpack(given[shard])
                     here = np.frombuffer(sizes, np.uint32).astype(np.int64)
                     counts[order[a:b]], at[order[a:b]] = here, base + np.cumsum(here) - here
-                    ids.append(np.frombuffer(values, np.uint32))
+                    ids.append(np.frombuffer(values, width).astype(np.uint32))
                     base += len(ids[-1])
                 pool = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
                 stream = pool[_spread(at[codes], counts[codes])]
@@ -242,8 +322,8 @@ def encode(
     texts = named.mapInArrow(blocks, f"block binary, doc_ids array<{id_name}>, texts binary")
     asked = named.mapInArrow(questions, "block binary, shard int, words binary")
     table = asked.repartition("shard").sortWithinPartitions("shard").mapInArrow(answers, "block binary, shard int, ids binary")
-    answered = table.groupBy("block", "shard").agg(F.first("ids").alias("ids"))
-    answered = answered.groupBy("block").agg(F.collect_list(F.struct("shard", "ids")).alias("answers"))
+    # A set, as equal blocks ask the same and get the same.
+    answered = table.groupBy("block").agg(F.collect_set(F.struct("shard", "ids")).alias("answers"))
     joined = texts.join(answered, "block", "left").select("doc_ids", "texts", "answers")
     return joined.mapInArrow(placed, f"id {id_name}, ids binary").select(F.col("id").alias(id_col), "ids")
 
@@ -265,6 +345,7 @@ def decode(ids: Column, vocabulary: str) -> Column:
                 out += [raw[a:b].decode("utf-8", "replace") for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
             yield pa.array(out, pa.string())
 
+    bound_batches()
     return F.arrow_udf(compute, "string")(ids)
 
 
