@@ -3,7 +3,8 @@ import math
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, oracle_sql
+from variantry.plans.catalogue import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
@@ -29,9 +30,9 @@ def normalised(rows, names):
     return sorted(([canonical(row[i]) for i in order] for row in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_sql(spark, database, name):
-    df = queries()[name](spark, SMALL)
+    df = QUERIES[name](spark, SMALL)
     cursor = database.execute(oracle_sql()[name])
     columns = [part[0] for part in cursor.description]
     assert sorted(df.columns) == sorted(columns)
@@ -43,7 +44,7 @@ def test_entry(spark):
 
 
 def test_no_query_pairs_all_rows(spark, plan_of):
-    for name, run in queries().items():
+    for name, run in QUERIES.items():
         if "round_trip" in name or "stored" in name:
             continue
         plan = plan_of(run(spark, SMALL))

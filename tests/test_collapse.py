@@ -78,14 +78,11 @@ def brute_force(records, order):
     return {key: sorted(values) if order == "sorted" else values for key, values in groups.items()}
 
 
-@pytest.mark.parametrize("steps", ["blocks", "ranges"])
 @pytest.mark.parametrize("order", ["first", "sorted"])
-def test_hot_key_against_brute_force(spark, monkeypatch, order, steps):
+def test_hot_key_against_brute_force(spark, monkeypatch, order):
     """A third of the rows share a key, and blocks are so small that every step merges."""
     monkeypatch.setattr(gather, "BLOCK_BITS", 3)
     monkeypatch.setattr(gather, "RANGE_BITS", 4)
-    if steps == "ranges":
-        monkeypatch.setattr(gather, "ONE_RANGE_BYTES", 0)
     rng = random.Random(3)
     records = [
         ("hot" if rng.random() < 0.34 else f"k{rng.randrange(300)}", rng.choice([None, *"abcdefghij"]), i)

@@ -13,13 +13,12 @@ def genes_table(spark):
     return spark.createDataFrame([(i, s) for i, s in enumerate(symbols, 1)], f"id int, `{SYMBOL}` string")
 
 
-@pytest.mark.parametrize("longest", [100, 0])
-def test_genes(spark, longest):
+def test_genes(spark):
     df = genes_table(spark)
     wanted = ["A2M", "BRCA1", "TP53", "."]
     frame = spark.createDataFrame([(w,) for w in wanted], "symbol string")
     for genes in (wanted, frame):
-        kept = match_genes(df, genes, longest=longest)
+        kept = match_genes(df, genes)
         assert sorted(r.id for r in kept.collect()) == [1, 2, 4, 10]
         assert kept.columns == df.columns
 
@@ -32,7 +31,8 @@ def test_genes_edge_cases(spark):
         assert match_genes(df.select("id"), ["A2M"]).count() == 11
     # Rows that are equal are all kept, whatever way the list is matched.
     twice = df.union(df)
-    assert match_genes(twice, ["A2M"], longest=0).count() == match_genes(twice, ["A2M"]).count() == 4
+    table = spark.createDataFrame([("A2M",)], "symbol string")
+    assert match_genes(twice, table).count() == match_genes(twice, ["A2M"]).count() == 4
 
 
 REGIONS = [("1", 100, 200), ("1", 500, 600), ("2", 1000, 1100), ("3", 2000, 2500)]
@@ -55,10 +55,7 @@ def test_regions(spark):
     }
 
 
-@pytest.mark.parametrize("broadcast", [True, False])
-def test_regions_against_brute_force(spark, monkeypatch, broadcast):
-    if not broadcast:
-        monkeypatch.setattr(membership, "MAX_BROADCAST_BINS", 0)
+def test_regions_against_brute_force(spark):
     rng = random.Random(7)
     width = 1 << membership.BIN_BITS
     regions = []

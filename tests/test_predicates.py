@@ -119,3 +119,20 @@ def test_config(tmp_path):
     assert (config.output_dir, config.bed_file, config.gene_filter) == ("out", "regions.bed", None)
     assert config.get(["absent", "key"], "fallback") == "fallback"
     assert config.get(["FILTERS", AF, "deeper"], 1) == 1
+
+
+def test_rules_reach_the_reader(spark, tmp_path, plan_of):
+    """On a stored table rules are bare comparisons; NaN still counts as no value."""
+    rows = [(1, 0.1, "a", True), (2, 0.3, "b", False), (3, None, None, None), (4, float("nan"), "a", True)]
+    spark.createDataFrame(rows, f"id long, `{AF}` double, txt string, flag boolean").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    cases = [
+        (Rule("txt", "==", "a"), {1, 4}, "EqualTo(txt,a)"), (Rule("id", "in", [1, 3]), {1, 3}, "In(id, [1,3])"),
+        (Rule("id", "<", 3), {1, 2}, "LessThan(id,3)"), (Rule(AF, "<=", 0.2), {1, 3, 4}, "LessThanOrEqual("),
+        (Rule(AF, ">", 0.2), {2, 3, 4}, "GreaterThan("), (Rule("txt", "!=", "a"), {2, 3}, "Not(EqualTo(txt,a))"),
+        (Rule("flag", "==", True), {1, 4}, "EqualTo(flag,true)"), (Rule("id", "not_in", [1, 2]), {3, 4}, "Not(In(id, [1,2]))"),
+    ]
+    for rule, kept, pushed in cases:
+        found = apply_rules(df, [rule])
+        assert {r.id for r in found.collect()} == kept, rule
+        assert pushed in plan_of(found).split("PushedFilters:")[1], rule

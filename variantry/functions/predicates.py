@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from variantry.config import ORDERING, ConfigError, Rule
 from variantry.functions.schema import resolve
@@ -70,6 +71,44 @@ def predicate(rule: Rule, df: DataFrame, frequency: bool | None = None) -> Colum
     return test | is_missing(col(name)) if frequency else test
 
 
+def _native(df: DataFrame, name: str, rule: Rule) -> bool:
+    """Whether the stored type of a column compares with the rule's values as it is."""
+    kind, values = df.schema[name].dataType, rule.values
+    if any(isinstance(value, bool) for value in values):
+        return isinstance(kind, T.BooleanType) and all(isinstance(value, bool) for value in values)
+    if all(isinstance(value, (int, float)) for value in values):
+        return isinstance(kind, T.NumericType)
+    return isinstance(kind, T.StringType) and all(isinstance(value, str) for value in values)
+
+
+def row_filter(rule: Rule, df: DataFrame, frequency: bool | None = None) -> Column:
+    """`predicate` as a filter: the same rows, in a form that reaches the reader of a stored table.
+
+    Null counts as false in a filter, so a column of the rule's own type is compared bare.
+    NaN, which Spark ranks above all numbers and which means no value, is told apart by that.
+    """
+    name = resolve(df, rule.column)
+    if name is None or rule.operator in ("contains", "not_contains") or not _native(df, name, rule):
+        return predicate(rule, df, frequency)
+    frequency = is_frequency(name) if frequency is None else frequency
+    kind = df.schema[name].dataType
+    if frequency and not isinstance(kind, T.NumericType):
+        return predicate(rule, df, frequency)
+    x, floating = col(name), isinstance(kind, (T.DoubleType, T.FloatType))
+    above_all = x > F.lit(float("inf"))
+    if rule.operator in ORDERING:
+        test = _COMPARE[rule.operator](x, F.lit(rule.value))
+        if floating and rule.operator in (">", ">=") and not frequency:
+            test = test & ~F.isnan(x)
+    else:
+        equal = x == F.lit(rule.values[0]) if len(rule.values) == 1 else x.isin(*rule.values)
+        test = equal if rule.operator in ("==", "in") else x.isNull() | ~equal
+    if frequency:
+        test = test | x.isNull()
+        return test | above_all if floating else test
+    return test
+
+
 def present_rules(df: DataFrame, rules: list[Rule]) -> list[Rule]:
     """The rules whose column exists; the others are reported and skipped."""
     kept = []
@@ -83,5 +122,5 @@ def present_rules(df: DataFrame, rules: list[Rule]) -> list[Rule]:
 
 def apply_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """Keep the rows that pass every rule, in one filter."""
-    tests = [predicate(rule, df) for rule in present_rules(df, rules)]
+    tests = [row_filter(rule, df) for rule in present_rules(df, rules)]
     return df.where(reduce(operator.and_, tests)) if tests else df

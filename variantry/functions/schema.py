@@ -32,6 +32,15 @@ def coerce_types(df: DataFrame, dtypes: dict[str, str]) -> DataFrame:
     return df.select(*[typed(df, name, dtypes.get(name, "string")).alias(name) for name in df.columns])
 
 
+# Fixed columns that hold numbers whether or not a table declares them.
+FIXED_TYPES = {"POS": as_whole_number, "QUAL": as_number}
+
+
+def fixed_types(df: DataFrame, declared: dict[str, str]) -> DataFrame:
+    """Type the fixed columns that `declared` leaves out; what is no number there becomes null."""
+    return df.withColumns({name: kind(df, name) for name, kind in FIXED_TYPES.items() if name in df.columns and name not in declared})
+
+
 def with_provenance(df: DataFrame, family: Column | str | None = None, filename: Column | str | None = None) -> DataFrame:
     """Put `family` and `filename` first.
 

@@ -49,8 +49,11 @@ def as_whole_number(df: DataFrame, name: str) -> Column:
 
 def as_truth(df: DataFrame, name: str) -> Column:
     """A column as a boolean; null where a text means neither."""
-    if isinstance(df.schema[name].dataType, T.BooleanType):
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.BooleanType):
         return col(name)
+    if isinstance(kind, T.NumericType):
+        return as_number(df, name) != 0
     text = F.lower(F.trim(col(name).cast("string")))
     return F.when(text.isin(*TRUE_TEXTS), True).when(text.isin(*FALSE_TEXTS), False)
 

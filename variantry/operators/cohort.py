@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from variantry.functions.schema import common_type
-from variantry.functions.text import col
+from variantry.functions.text import col, quoted, text_of, text_sql
 from variantry.names import COHORT_ANNOTATIONS, DATASET_INDEX, ROW_COUNT, ROW_ORDER, SAMPLE_AF, SITE_KEYS
 from variantry.operators.gather import GROUP_ROWS, gather_distinct, with_row_order
 
 INTERNAL = (DATASET_INDEX, ROW_ORDER)
+FAMILY = "_family"
 
 
 def row_counts(df: DataFrame, keys: list[str] = SITE_KEYS) -> DataFrame:
@@ -81,6 +82,49 @@ def with_family_columns(df: DataFrame, families: list[str]) -> DataFrame:
     return df.withColumns(missing) if missing else df
 
 
+PAIRS = "_pairs"
+
+
+def _first_of(family: str) -> Column:
+    """The first frequency of one family among the pairs of a variant."""
+    return F.get(F.filter(F.col(PAIRS), lambda pair: pair["family"] == family), F.lit(0))["value"]
+
+
+def _gather_in_families(
+    rows: DataFrame, keys: list[str], listed: list[str], firsts: list[str], families: list[str] | None, rank: list[str],
+    cutoff: int | None,
+) -> DataFrame:
+    """Sorted lists, first values and frequencies of each variant from one pass over the rows.
+
+    Rows are reduced per (variant, family) before the first shuffle, so what a variant
+    brings together is at most one row per family.
+    """
+    slots = {f"c{i}": name for i, name in enumerate(listed)}
+    wanted = [*firsts, *([SAMPLE_AF] if families else [])]
+    heads = {f"v{i}": name for i, name in enumerate(wanted)}
+    order = F.struct(*[col(name) for name in rank])
+    by_family = col("family").cast("string").alias(FAMILY) if families else F.lit(None).cast("string").alias(FAMILY)
+    first = rows.groupBy(*[col(key) for key in keys], by_family).agg(
+        *[F.expr(f"collect_set({text_sql(quoted(name), rows.schema[name].dataType)})").alias(slot) for slot, name in slots.items()],
+        *[F.min(F.when(col(name).isNotNull(), F.struct(order.alias("rank"), col(name).alias("value")))).alias(slot) for slot, name in heads.items()],
+        F.count(F.lit(1)).alias(GROUP_ROWS),
+    )
+    merged = [F.array_sort(F.array_distinct(F.flatten(F.collect_list(slot)))).alias(slot) for slot in slots]
+    merged += [F.min(slot).alias(slot) for slot, name in heads.items() if name in firsts]
+    if families:
+        frequency = next(slot for slot, name in heads.items() if name == SAMPLE_AF)
+        given = F.col(FAMILY).isNotNull() & F.col(frequency).isNotNull()
+        pair = F.struct(F.col(FAMILY).alias("family"), F.col(f"{frequency}.value").alias("value"))
+        merged.append(F.collect_list(F.when(given, pair)).alias(PAIRS))
+    groups = first.groupBy(*[col(key) for key in keys]).agg(*merged, F.sum(GROUP_ROWS).alias(GROUP_ROWS))
+    groups = groups if cutoff is None else groups.where(F.col(GROUP_ROWS) < cutoff)
+    return groups.select(
+        *[col(key) for key in keys], *[F.col(slot).alias(name) for slot, name in slots.items()],
+        *[F.col(f"{slot}.value").alias(name) for slot, name in heads.items() if name in firsts],
+        *[_first_of(family).alias(f"AF_{family}") for family in families or []], F.col(GROUP_ROWS),
+    )
+
+
 def cohort(
     df: DataFrame,
     columns: str = "default",
@@ -117,16 +161,23 @@ def cohort(
     listed = [name for name in chosen if name != SAMPLE_AF and not name.startswith("AF_")]
     firsts = [name for name in chosen if name.startswith("AF_")]
 
-    result = gather_distinct(rows, keys, listed, order=order, bounded=unique, fewer_than=cutoff)
     if rank is None:
         rank = [DATASET_INDEX] if unique and DATASET_INDEX in df.columns else [name for name in INTERNAL if name in df.columns]
     if not rank:
         rows, rank = with_row_order(rows), [ROW_ORDER]
-    if firsts:
-        kept = rows.groupBy(*[col(key) for key in keys]).agg(*[first_value(name, rank).alias(name) for name in firsts])
-        result = result.join(kept, keys)
-    if has_frequency:
-        result = result.join(family_frequencies(rows, families, keys, order=rank), keys)
+    pairs = families if has_frequency else None
+    if order == "sorted":
+        result = _gather_in_families(rows, keys, listed, firsts, pairs, rank, cutoff)
+    else:
+        # First values and frequencies are gathered like the lists, in the same steps.
+        kept = {name: quoted(name) for name in firsts}
+        if has_frequency:
+            given = f"family is not null and {quoted(SAMPLE_AF)} is not null"
+            kept[PAIRS] = f"if({given}, struct(cast(family as string) as family, {quoted(SAMPLE_AF)} as value), null)"
+        result = gather_distinct(rows, keys, listed, order=order, unique=unique, fewer_than=cutoff, values=kept)
+        result = result.withColumns({name: F.get(col(name), F.lit(0)) for name in firsts}) if firsts else result
+        if has_frequency:
+            result = result.withColumns({f"AF_{name}": _first_of(name) for name in families}).drop(PAIRS)
 
     output: list[str] = []
     frequencies = [f"AF_{family}" for family in families] if has_frequency else []
@@ -151,10 +202,14 @@ def union_aligned(frames: list[DataFrame]) -> DataFrame:
         for field in frame.schema:
             kinds.setdefault(field.name, []).append(field.dataType)
     target = {name: common_type(types) for name, types in kinds.items()}
-    aligned = [
-        frame.select(*[col(field.name).cast(target[field.name]).alias(field.name) for field in frame.schema])
-        for frame in frames
-    ]
+
+    def cell(field: T.StructField) -> Column:
+        # A number or truth value becomes the text it has in an export, wherever it was stored.
+        as_text = isinstance(target[field.name], T.StringType)
+        value = text_of(field.name, field.dataType) if as_text else col(field.name).cast(target[field.name])
+        return value.alias(field.name)
+
+    aligned = [frame.select(*[cell(field) for field in frame.schema]) for frame in frames]
     result = aligned[0]
     for frame in aligned[1:]:
         result = result.unionByName(frame, allowMissingColumns=True)

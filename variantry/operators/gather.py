@@ -28,10 +28,6 @@ _BLOCK = "_block"
 _DATASETS = "_datasets"
 _ROWS = "_rows"
 
-# An input up to this size has so few partitions that all blocks of a group lie within
-# one range, and the step between would only repeat the last one.
-ONE_RANGE_BYTES = 64 * 128 * 1024 * 1024
-
 
 def with_row_order(df: DataFrame) -> DataFrame:
     """Number the rows as they are read, unless they carry their order already.
@@ -42,24 +38,13 @@ def with_row_order(df: DataFrame) -> DataFrame:
     return df if ROW_ORDER in df.columns else df.withColumn(ROW_ORDER, F.monotonically_increasing_id())
 
 
-def input_bytes(df: DataFrame) -> int:
-    """The size of all tables `df` reads, as the optimizer knows it.
-
-    Sizes of joins are left aside: their estimates multiply and say nothing about the
-    number of input partitions.
-    """
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-
-
-def _row_steps(df: DataFrame) -> list[dict[str, Column]]:
-    steps = [{_BLOCK: F.shiftright(F.col(ROW_ORDER), BLOCK_BITS)}]
-    if input_bytes(df) > ONE_RANGE_BYTES:
-        steps.append({_BLOCK: F.shiftright(F.col(_BLOCK), RANGE_BITS)})
-    return [*steps, {}]
+def _row_steps() -> list[dict[str, Column]]:
+    return [{_BLOCK: F.shiftright(F.col(ROW_ORDER), BLOCK_BITS)}, {_BLOCK: F.shiftright(F.col(_BLOCK), RANGE_BITS)}, {}]
 
 
-def _dataset_steps() -> list[dict[str, Column]]:
+def _dataset_steps(unique: bool) -> list[dict[str, Column]]:
+    if unique:
+        return [{_DATASETS: F.shiftright(F.col(DATASET_INDEX), DATASET_BITS)}, {}]
     same = {_DATASETS: F.col(_DATASETS)}
     return [
         {_DATASETS: F.col(DATASET_INDEX), _BLOCK: F.shiftright(F.col(ROW_ORDER), BLOCK_BITS)},
@@ -74,17 +59,19 @@ def gather_distinct(
     keys: list[str],
     columns: list[str],
     order: str = "first",
-    bounded: bool = False,
+    unique: bool = False,
     fewer_than: int | None = None,
+    values: dict[str, str] | None = None,
 ) -> DataFrame:
     """One row per key: for each column the array of its distinct texts, and the row count.
 
     `order="first"` keeps values in order of first appearance, by dataset and then by
     row; `order="sorted"` sorts them, which lets Spark drop repeated values before the
-    only shuffle. `bounded=True` states that a key is known to have few rows, as after
-    a uniqueness check; they are then combined in one step. `fewer_than` leaves out
+    only shuffle. `unique=True` states that no dataset has a key twice, as after a
+    uniqueness check; ranges of datasets are then combined first. `fewer_than` leaves out
     groups with that many rows or more; their values are let go in the step in which
-    the rows of a block or range suffice to tell.
+    the rows of a block or range suffice to tell. `values` adds columns of distinct
+    non-null values of SQL expressions as they are, in order of first appearance.
     """
     kinds = {name: df.schema[name].dataType for name in columns}
     if order == "sorted":
@@ -100,12 +87,11 @@ def gather_distinct(
         *[col(key) for key in keys],
         *[F.col(name) for name in rank],
         *[text_of(name, kinds[name]).alias(slot) for slot, name in slots.items()],
+        *[F.expr(sql).alias(f"v{i}") for i, sql in enumerate((values or {}).values())],
         F.lit(1).cast("bigint").alias(GROUP_ROWS),
     )
-    if bounded:
-        steps = [{}]
-    else:
-        steps = _dataset_steps() if by_dataset else _row_steps(df)
+    steps = _dataset_steps(unique) if by_dataset else _row_steps()
+    slots |= {f"v{i}": name for i, name in enumerate(values or {})}
     for depth, step in enumerate(steps):
         state = _combine(state, keys, list(slots), rank, step, depth > 0, fewer_than)
         rank = list(step)

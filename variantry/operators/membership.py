@@ -22,71 +22,55 @@ IN_REGION = "_in_region"
 IN_GENES = "_in_genes"
 IN_RSIDS = "_in_rsids"
 
-# Lists up to this length become part of the filter; longer ones are joined.
-MAX_LITERALS = 5_000
-
 # Positions per bin. A bin can hold at most that many distinct interval starts.
 BIN_BITS = 14
 
-# Size up to which region bins are sent to every task.
-MAX_BROADCAST_BINS = 200_000
-MAX_BROADCAST_SPANS = 1_000_000
-
-Listing = DataFrame | Iterable[str]
-
-
-def short_list(wanted: Listing, longest: int = MAX_LITERALS) -> list[str] | None:
-    """The entries of a list, or None if there are more than fit into a filter."""
-    if isinstance(wanted, DataFrame):
-        head = wanted.select(F.col(wanted.columns[0])).dropna().limit(longest + 1).collect()
-        values = [row[0] for row in head]
-    else:
-        values = list(dict.fromkeys(value for value in wanted if value is not None))
-    return values if len(values) <= longest else None
+# VCF positions are 32-bit numbers; a region may be open beyond them.
+LAST_POSITION = (1 << 31) - 1
 
+# Rows whose cell cannot match are spread over this many keys of the join.
+SPREAD = 4096
 
-def _as_frame(df: DataFrame, wanted: Listing) -> DataFrame:
-    if isinstance(wanted, DataFrame):
-        return wanted.select(F.col(wanted.columns[0]).cast("string").alias("_wanted")).dropna()
-    return df.sparkSession.createDataFrame([(value,) for value in wanted], "_wanted string").dropna()
+Listing = DataFrame | Iterable[str]
 
 
-def mark_listed(df: DataFrame, name: str, wanted: Listing, flag: str, longest: int = MAX_LITERALS) -> DataFrame:
+def mark_listed(df: DataFrame, name: str, wanted: Listing, flag: str) -> DataFrame:
     """Add `flag`: whether any entry of the cell is in the list, exactly and case-sensitively.
 
-    A long list is matched against the distinct cells, of which there are far fewer
-    than rows, and the cells found are joined back. No row is ever duplicated, hot
-    cells shrink to one before the first shuffle, and Spark splits them in the second.
+    A list that the caller holds becomes part of the filter. A table is matched against the
+    distinct cells, of which there are far fewer than rows, and the cells found are joined
+    back. No row is ever duplicated, and hot cells shrink to one before the first shuffle.
+    Cells that cannot match (null, empty or a dot) get a second key that spreads them.
     """
     cell = col(name).cast("string")
-    known = short_list(wanted, longest)
-    if known is not None:
+    if not isinstance(wanted, DataFrame):
+        known = list(dict.fromkeys(value for value in wanted if value is not None))
         hit = F.exists(tokens(cell), lambda token: token.isin(*known)) if known else F.lit(False)
         return df.withColumn(flag, F.coalesce(hit, F.lit(False)))
-    cells = df.select(cell.alias("_cell")).where(~F.col("_cell").isin("", ".")).distinct()
+    listed = wanted.select(F.col(wanted.columns[0]).cast("string").alias("_wanted")).dropna()
+    possible = F.coalesce(~cell.isin("", "."), F.lit(False))
+    cells = df.select(cell.alias("_cell")).where(possible).distinct()
     entries = cells.select("_cell", F.explode(tokens(F.col("_cell"))).alias("_wanted"))
-    found = entries.join(_as_frame(df, wanted), "_wanted", "left_semi").select("_cell").distinct()
-    marked = df.join(found.withColumn(flag, F.lit(True)), cell == F.col("_cell"), "left").drop("_cell")
-    return marked.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+    found = entries.join(listed, "_wanted", "left_semi").select("_cell").distinct().withColumns({"_part": F.lit(0), flag: F.lit(True)})
+    spread = 1 + F.pmod(F.xxhash64(*[col(other) for other in df.columns]), F.lit(SPREAD)).cast("int")
+    keyed = df.withColumns({"_key": F.when(possible, cell).otherwise(""), "_place": F.when(possible, 0).otherwise(spread)})
+    marked = keyed.join(found, (F.col("_key") == F.col("_cell")) & (F.col("_place") == F.col("_part")), "left")
+    return marked.drop("_cell", "_part", "_key", "_place").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
-def match_genes(
-    df: DataFrame, genes: Listing | None, column: str = SYMBOL, longest: int = MAX_LITERALS
-) -> DataFrame:
+def match_genes(df: DataFrame, genes: Listing | None, column: str = SYMBOL) -> DataFrame:
     """Keep the rows naming a listed gene; without a list or the column, keep all."""
     if genes is None:
         return df
     if column not in df.columns:
         warnings.warn(f"column {column!r} not found, genes are not filtered", stacklevel=2)
         return df
-    return mark_listed(df, column, genes, IN_GENES, longest).where(IN_GENES).drop(IN_GENES)
+    return mark_listed(df, column, genes, IN_GENES).where(IN_GENES).drop(IN_GENES)
 
 
-def match_rsids(
-    df: DataFrame, rsids: Listing | None, column: str = "ID", longest: int = MAX_LITERALS
-) -> DataFrame:
+def match_rsids(df: DataFrame, rsids: Listing | None, column: str = "ID") -> DataFrame:
     """Keep the rows naming a listed rsID; without a list or the column, keep all."""
-    return match_genes(df, rsids, column, longest)
+    return match_genes(df, rsids, column)
 
 
 def chromosome(value: Column) -> Column:
@@ -111,7 +95,8 @@ def region_bins(regions: DataFrame) -> DataFrame:
     """
     first = F.shiftright(F.col("start"), BIN_BITS)
     last = F.shiftright(F.col("end"), BIN_BITS)
-    valid = regions.where("start <= end").select("chrom", "start", "end", first.alias("_bin"), last.alias("_last"))
+    clipped = regions.select("chrom", "start", F.least(F.col("end"), F.lit(LAST_POSITION)).alias("end"))
+    valid = clipped.where("start <= end").select("chrom", "start", "end", first.alias("_bin"), last.alias("_last"))
 
     def edge(bin_: Column) -> Column:
         return F.shiftleft(bin_ + 1, BIN_BITS) - 1
@@ -132,18 +117,10 @@ def region_bins(regions: DataFrame) -> DataFrame:
 def mark_regions(df: DataFrame, regions: DataFrame, flag: str = IN_REGION) -> DataFrame:
     """Add `flag`: whether the position lies in a region, both ends included.
 
-    The join is an equi-join on chromosome and bin. Bins are broadcast if few enough,
-    else both sides are shuffled by chromosome and bin.
+    The join is an equi-join on chromosome and bin; adaptive execution broadcasts the bins
+    if they turn out to be small. Regions end at LAST_POSITION at the latest.
     """
     bins = region_bins(regions)
-    size = (
-        bins.select(F.size("_spans").alias("n"))
-        .limit(MAX_BROADCAST_BINS + 1)
-        .agg(F.count(F.lit(1)).alias("bins"), F.coalesce(F.sum("n"), F.lit(0)).alias("spans"))
-        .first()
-    )
-    if size["bins"] <= MAX_BROADCAST_BINS and size["spans"] <= MAX_BROADCAST_SPANS:
-        bins = F.broadcast(bins)
     pos = F.col("_pos")
     placed = df.withColumn("_pos", position(df))
     here = (chromosome(col("CHROM")) == F.col("_chrom")) & (F.shiftright(pos, BIN_BITS) == F.col("_bin"))
@@ -157,6 +134,29 @@ def match_regions(df: DataFrame, regions: DataFrame) -> DataFrame:
     return mark_regions(df, regions).where(IN_REGION).drop(IN_REGION)
 
 
+def _given(wanted: Listing) -> Column:
+    """Whether a list has entries; for a table this is found while the plan runs."""
+    if isinstance(wanted, DataFrame):
+        return wanted.limit(1).agg(F.count(F.lit(1))).scalar() > 0
+    return F.lit(any(value is not None for value in wanted))
+
+
+def _criteria(
+    df: DataFrame, genes: Listing | None, rsids: Listing | None, regions: DataFrame | None
+) -> tuple[DataFrame, dict[str, Listing]]:
+    """The table with one flag per criterion that is given and whose column exists, and the list behind each flag."""
+    flags: dict[str, Listing] = {}
+    if regions is not None and {"CHROM", "POS"} <= set(df.columns):
+        df = mark_regions(df, regions)
+        flags[IN_REGION] = regions
+    for name, wanted, flag in ((SYMBOL, genes, IN_GENES), ("ID", rsids, IN_RSIDS)):
+        if wanted is not None and name in df.columns:
+            wanted = wanted if isinstance(wanted, DataFrame) else list(wanted)
+            df = mark_listed(df, name, wanted, flag)
+            flags[flag] = wanted
+    return df, flags
+
+
 def mark_criteria(
     df: DataFrame,
     genes: Listing | None = None,
@@ -165,21 +165,10 @@ def mark_criteria(
 ) -> tuple[DataFrame, list[str]]:
     """Add one flag per applicable criterion; return the table and the flags added.
 
-    A criterion without entries, or whose column is missing, is left out.
+    A criterion that is not given, or whose column is missing, is left out.
     """
-    flags = []
-    if regions is not None and {"CHROM", "POS"} <= set(df.columns) and not regions.isEmpty():
-        df = mark_regions(df, regions)
-        flags.append(IN_REGION)
-    for name, wanted, flag in ((SYMBOL, genes, IN_GENES), ("ID", rsids, IN_RSIDS)):
-        if wanted is None or name not in df.columns:
-            continue
-        known = short_list(wanted)
-        if known == []:
-            continue
-        df = mark_listed(df, name, wanted if known is None else known, flag)
-        flags.append(flag)
-    return df, flags
+    marked, flags = _criteria(df, genes, rsids, regions)
+    return marked, list(flags)
 
 
 def match_any(
@@ -188,8 +177,9 @@ def match_any(
     rsids: Listing | None = None,
     regions: DataFrame | None = None,
 ) -> DataFrame:
-    """Keep the rows that meet any criterion; with no applicable criterion, keep all."""
-    marked, flags = mark_criteria(df, genes, rsids, regions)
+    """Keep the rows that meet any criterion; if none applies or has entries, keep all."""
+    marked, flags = _criteria(df, genes, rsids, regions)
     if not flags:
         return df
-    return marked.where(reduce(operator.or_, [F.col(flag) for flag in flags])).drop(*flags)
+    nothing = reduce(operator.and_, [~_given(wanted) for wanted in flags.values()])
+    return marked.where(reduce(operator.or_, [F.col(flag) for flag in flags]) | nothing).drop(*flags)

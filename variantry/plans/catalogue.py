@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from variantry.functions.predicates import apply_rules, condition
 from variantry.functions.schema import (
     coerce_types,
     drop_columns,
+    fixed_types,
     priority_order,
     rename_columns,
     with_provenance,
@@ -41,9 +43,9 @@ from variantry.operators.membership import (
 )
 from variantry.plans.driver_tables import FAMILIES, REGIONS_SQL, VARIANTS_SQL, regions, table, variants
 from variantry.plans.pipeline import combine, filter_and_collapse
-from variantry.session import scratch_path, spread
+from variantry.session import scratch_path
 from variantry.sinks import as_text, export_tsv, write_dataset
-from variantry.sources.lists import rsids_of
+from variantry.sources.lists import read_genes, read_genes_and_rsids, read_regions, rsids_of
 from variantry.sources.tables import number_datasets, read_dataset, read_datasets, read_delimited
 from variantry.sources.vcf import flatten_vcf, parse_header
 
@@ -163,7 +165,7 @@ def rsid_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query('select SAMPLE, POS, "ID" from variants where ' + RSID_SQL)
 def rsid_semi_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As `rsid_semi`, by the join that lists too long for a filter take."""
-    kept = match_rsids(variants(spark, sf_dir), urgent_rsids(spark, sf_dir), longest=0)
+    kept = match_rsids(variants(spark, sf_dir), urgent_rsids(spark, sf_dir))
     return kept.select("SAMPLE", "POS", "ID")
 
 
@@ -712,7 +714,7 @@ VCF_HEADER = [
 )
 def vcf_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     """VCF text with two samples and two annotations per record, as a long table."""
-    lines = spread(table(spark, sf_dir, "lineitem")).join(
+    lines = table(spark, sf_dir, "lineitem").join(
         table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")
     ).selectExpr(
         """concat_ws('\t', concat('chr', l_partkey % 22 + 1), l_partkey,
@@ -735,6 +737,107 @@ def exported_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_text(rows).withColumn("POS", F.col("POS").cast("bigint"))
 
 
+# --- files that a user brings, written from the tables and read again ---------------------------
+
+
+def written(df: DataFrame, label: str, header: bool = True, separator: str = "\t") -> str:
+    """A table as delimited text files in the scratch folder."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.csv(path, sep=separator, header=header)
+    return path
+
+
+@query("select distinct p_brand as symbol from part where p_size > 10")
+def gene_list_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    brands = table(spark, sf_dir, "part").where("p_size > 10")
+    return read_genes(spark, written(brands.selectExpr("p_brand as `Gene Symbol`", "p_type as Description"), "genes"))
+
+
+@query(
+    """select 'gene' as kind, p_brand as entry from part group by p_brand
+    union all select distinct 'rsid', concat('rs', p_partkey % 50) from part where p_partkey % 3 > 0"""
+)
+def flexible_list_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Symbols and rsIDs under any accepted header; entries that are no rsID are left out."""
+    rows = table(spark, sf_dir, "part").selectExpr(
+        "p_brand as Gene_Symbol", "if(p_partkey % 3 > 0, concat(' rs', p_partkey % 50, ' '), concat('15:', p_partkey)) as rsID_paper"
+    )
+    genes, rsids = read_genes_and_rsids(spark, written(rows, "lists"))
+    return genes.selectExpr("'gene' as kind", "symbol as entry").union(rsids.selectExpr("'rsid'", "rsid"))
+
+
+@query("select cast(n_nationkey as varchar) as chrom, n_nationkey * 50 as start, n_nationkey * 50 + 20 as \"end\" from nation")
+def bed_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "nation").selectExpr(
+        "concat('chr', n_nationkey)", "n_nationkey * 50", "n_nationkey * 50 + 20", "n_name"
+    )
+    return read_regions(spark, written(rows, "bed", header=False))
+
+
+@query(f"select SAMPLE, POS, {q(MAX_AF)} from variants where not coalesce(contains(cast({q(SYMBOL)} as varchar), 'zzz'), false)")
+def gene_column_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without the symbol column, a gene list keeps all rows."""
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore", UserWarning)
+        return match_genes(variants(spark, sf_dir).select("SAMPLE", "POS", col(MAX_AF)), GENES)
+
+
+@query(f"select CHROM, POS, {sorted_cell('SAMPLE')} from variants group by CHROM, POS")
+def key_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With some key columns missing, the others group the rows."""
+    rows = variants(spark, sf_dir).select("CHROM", "POS", "SAMPLE").withColumnRenamed("SAMPLE", "held")
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore", UserWarning)
+        return collapse(rows, order="sorted").withColumnRenamed("held", "SAMPLE")
+
+
+@query(
+    """select origin, value from (select 'customer' as origin, cast(c_acctbal / 1000000 as varchar) as value from customer
+    union all select 'nation', case when n_nationkey = 1 then '0.5;0.25' else 'none' end from nation
+    union all select 'supplier', case when s_acctbal > 0 then 'True' else 'False' end from supplier)"""
+)
+def cohort_mixed_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One column as double, text and boolean in three tables: every value in the notation of exports."""
+    customers = table(spark, sf_dir, "customer").selectExpr("'customer' as origin", "c_acctbal / 1000000 as value")
+    nations = table(spark, sf_dir, "nation").selectExpr("'nation' as origin", "if(n_nationkey = 1, '0.5;0.25', 'none') as value")
+    suppliers = table(spark, sf_dir, "supplier").selectExpr("'supplier' as origin", "s_acctbal > 0 as value")
+    return union_aligned([customers, nations, suppliers])
+
+
+@query(
+    f"""select l_orderkey, l_partkey as "POS", l_quantity as "QUAL", 'kept as text' as "NOTE",
+      case when l_linenumber = 1 then null else l_linenumber end as depth from lineitem"""
+)
+def ingest_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """POS and QUAL of a table of texts are numbers without being declared."""
+    rows = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey", "cast(l_partkey as string) as POS", "cast(l_quantity as string) as QUAL", "'kept as text' as NOTE",
+        "if(l_linenumber = 1, null, l_linenumber) as depth",
+    )
+    return fixed_types(rows, {})
+
+
+@query(
+    """select concat('chr', l_suppkey % 5) as "CHROM", l_partkey as "POS", 'A' as "REF", alt as "ALT", cast(null as double) as "QUAL",
+      '[]' as "FILTER", cast(null as varchar) as "ID", cast(null as varchar) as "SAMPLE",
+      case alt when 'T' then concat('(', l_linenumber, ',)') else concat('(', l_linenumber + 1, ',)') end as "INFO['AC']",
+      alt as "ANN['Allele']", concat('gene', l_suppkey, alt) as "ANN['Gene_Name']"
+    from lineitem, (values ('T'), ('G')) alleles(alt)"""
+)
+def vcf_multi_allelic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two alleles per record: each row has its own annotation and its own value."""
+    header = parse_header([
+        '##INFO=<ID=AC,Number=A,Type=Integer,Description="Allele count">',
+        "##INFO=<ID=ANN,Number=.,Type=String,Description=\"Functional annotations: 'Allele | Gene_Name'\">",
+        "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO",
+    ])
+    lines = table(spark, sf_dir, "lineitem").selectExpr(
+        """concat_ws('\t', concat('chr', l_suppkey % 5), l_partkey, '.', 'A', 'T,G', '.', '.',
+          concat('AC=', l_linenumber, ',', l_linenumber + 1, ';ANN=G|gene', l_suppkey, 'G,T|gene', l_suppkey, 'T')) as value"""
+    )
+    return flatten_vcf(lines, header).drop(ROW_ORDER)
+
+
 # --- everything in one plan ------------------------------------------------------------------
 
 RARE_SQL = f"({q(MAX_AF)} <= 0.05 or {q(MAX_AF)} is null)"

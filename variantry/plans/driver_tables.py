@@ -9,8 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from variantry.session import spread
-
 FAMILIES = [f"F{i}" for i in range(25)]
 
 # One expression per column that Spark and DuckDB read alike.
@@ -42,7 +40,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The variant table; parts and suppliers join by whatever strategy their size allows."""
-    lines = spread(table(spark, sf_dir, "lineitem"))
+    lines = table(spark, sf_dir, "lineitem")
     parts = table(spark, sf_dir, "part")
     suppliers = table(spark, sf_dir, "supplier")
     joined = lines.join(parts, lines.l_partkey == parts.p_partkey).join(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from variantry.config import PipelineConfig
 from variantry.functions.predicates import apply_rules
-from variantry.functions.schema import coerce_types, drop_columns, rename_columns, with_provenance
+from variantry.functions.schema import coerce_types, drop_columns, fixed_types, rename_columns, with_provenance
 from variantry.names import COLLAPSE_KEYS, ROW_ORDER, SITE_KEYS, SOURCE_DATASET
 from variantry.operators.cohort import check_cutoff, cohort
 from variantry.operators.collapse import available_keys, collapse
@@ -49,7 +49,8 @@ def ingest(
     table = read_delimited(spark, inputs, provenance=True)
     renamed = rename_columns(table, renames or {})
     # The row order is no text and must stay as it is.
-    typed = coerce_types(renamed, {name: kind for name, kind in (dtypes or {}).items() if name != ROW_ORDER})
+    declared = {name: kind for name, kind in (dtypes or {}).items() if name != ROW_ORDER}
+    typed = fixed_types(coerce_types(renamed, declared), declared)
     return write_dataset(typed, output, {"source_files": inputs}, partition_by=["family"])
 
 

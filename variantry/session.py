@@ -1,11 +1,11 @@
-"""Session set-up and the two places where the cluster's shape matters."""
+"""Session set-up and the folder for intermediate tables."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -44,15 +44,3 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         spark.conf.set(CHECKPOINT_DIR, root)
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Deal the rows of a scan out to all cores if it has fewer splits than cores.
-
-    Small files arrive as one split and would keep one core busy. A scan with
-    enough splits is returned as it is, so nothing is shuffled at scale. Call it
-    on a plain scan: the number of splits is then known without running a job.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= cores:
-        return scan
-    return scan.repartition(cores)

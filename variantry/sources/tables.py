@@ -169,16 +169,16 @@ def read_datasets(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, lis
         numbers = spark.createDataFrame(
             [(location(spark, valid[index]), index) for index in members], f"_folder string, {DATASET_INDEX} int"
         )
-        # As many rows as paths, all of which the driver already holds.
         placed = scan.select(*cells, folder.alias("_folder"))
-        frames.append(_with_family(placed.join(F.broadcast(numbers), "_folder").drop("_folder")))
+        frames.append(_with_family(placed.join(numbers, "_folder").drop("_folder")))
     return union_aligned(frames), valid
 
 
 def number_datasets(df: DataFrame, by: str = SOURCE_DATASET) -> tuple[DataFrame, list[str]]:
     """Number the datasets within one table by a column, and the names by number."""
-    names = [row[0] for row in df.select(by).distinct().dropna().orderBy(by).collect()]
+    names = [row[0] for row in df.select(by).distinct().orderBy(by).collect()]
+    if None in names:
+        raise ValueError(f"rows without {by}")
     numbers = df.sparkSession.createDataFrame(list(zip(names, range(len(names)))), f"{by} string, {DATASET_INDEX} int")
-    # As many rows as datasets, whose names the driver already holds.
-    return df.join(F.broadcast(numbers), by), names
+    return df.join(numbers, by), names
 

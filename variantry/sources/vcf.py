@@ -17,6 +17,7 @@ RANGE_FIELDS = ("cDNA.pos / cDNA.length", "CDS.pos / CDS.length", "AA.pos / AA.l
 LIST_FIELDS = ("ERRORS / WARNINGS / INFO",)
 
 HEADER_CHUNK = 1_000
+MAX_HEADER = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -64,7 +65,9 @@ def header_lines(spark: SparkSession, path: str) -> list[str]:
         for i, line in enumerate(lines):
             if line.startswith("#CHROM"):
                 return lines[: i + 1]
-        if len(lines) < count:
+            if not line.startswith("##"):
+                raise ValueError(f"{path} has no #CHROM line")
+        if len(lines) < count or count >= MAX_HEADER:
             raise ValueError(f"{path} has no #CHROM line")
         count *= 10
 
@@ -89,12 +92,20 @@ def tuple_text(parts: str, kind: str) -> str:
     return f"concat('(', array_join({items}, ', '), if(size({parts}) = 1, ',)', ')'))"
 
 
+def of_allele(parts: str, number: str) -> str:
+    """Of one value per allele, those of the row's own: its own, or the reference's and its own."""
+    own = f"get({parts}, _alt)"
+    chosen = {"A": f"array({own})", "R": f"array(get({parts}, 0), get({parts}, _alt + 1))"}.get(number)
+    # A record with one allele keeps its values as they are.
+    return parts if chosen is None else f"if(size(_alts) > 1 and {parts} is not null, {chosen}, {parts})"
+
+
 def field_value(text: str, field: Field) -> str:
     """The value of a field in its declared type; several values as a tuple text."""
     if field.name == "GT":
         return tuple_text(f"split(translate({given(text)}, '|', '/'), '/')", "Integer")
     if field.number != "1":
-        return tuple_text(f"split({given(text)}, ',')", field.kind)
+        return tuple_text(of_allele(f"split({given(text)}, ',')", field.number), field.kind)
     if field.kind == "Integer":
         return f"try_cast({given(text)} as bigint)"
     if field.kind == "Float":
@@ -139,18 +150,30 @@ def annotation_value(index: int, name: str) -> str:
     return given(text)
 
 
+def own_annotations(header: VcfHeader) -> str:
+    """The entries that belong to the row's allele: all, if the record has one or entries name none."""
+    entries = "split(_annotations, ',')"
+    if "Allele" not in header.annotation:
+        return entries
+    named = f"split_part(entry, '|', {header.annotation.index('Allele') + 1})"
+    mine = f"filter({entries}, entry -> {named} = ALT or not array_contains(_alts, {named}))"
+    return f"if(size(_alts) > 1, {mine}, {entries})"
+
+
 def flatten_vcf(lines: DataFrame, header: VcfHeader, annotation_key: str = "ANN") -> DataFrame:
     """VCF lines (a text column `value`) as a long table in the order of the lines.
 
-    Every alternative allele and every sample of a record gets its own rows. A record
-    without annotations gives one row per sample with null annotation fields.
+    Every alternative allele and every sample of a record gets its own rows. An allele
+    has its own values of fields with one value per allele, and the annotations that name
+    it or none of the record's alleles; without any, its annotation fields are null.
     """
     records = lines.where("not startswith(value, '#') and value != ''").select(F.split("value", "\t").alias("_fields"))
-    site = records.selectExpr(
+    alleles = records.selectExpr("_fields", "split(_fields[4], ',') as _alts")
+    site = alleles.selectExpr("_fields", "_alts", "posexplode(_alts) as (_alt, ALT)").selectExpr(
         "_fields[0] as CHROM",
         "try_cast(_fields[1] as bigint) as POS",
         "_fields[3] as REF",
-        "_fields[4] as _alts",
+        "ALT", "_alt", "_alts",
         f"{single(given('_fields[5]'))} as QUAL",
         f"{list_text("filter(split(_fields[6], ';'), part -> part != '.')")} as FILTER",
         f"{given('_fields[2]')} as ID",
@@ -162,10 +185,9 @@ def flatten_vcf(lines: DataFrame, header: VcfHeader, annotation_key: str = "ANN"
     if "INFO['END']" in info:
         info["INFO['END']"] = f"coalesce({info["INFO['END']"]}, POS + length(REF) - 1)"
     site = site.selectExpr(
-        "CHROM", "POS", "REF", "QUAL", "FILTER", "ID", "_format", "_samples",
+        "CHROM", "POS", "REF", "ALT", "QUAL", "FILTER", "ID", "_format", "_samples", "_alt", "_alts",
         *[f"{value} as {quoted(name)}" for name, value in info.items()],
         f"{info_value(Field(annotation_key, '1', 'String'))} as _annotations",
-        "explode(split(_alts, ',')) as ALT",
     )
     if header.samples:
         names = F.array(*[F.lit(name) for name in header.samples])
@@ -180,7 +202,7 @@ def flatten_vcf(lines: DataFrame, header: VcfHeader, annotation_key: str = "ANN"
         *fixed,
         *[quoted(name) for name in info],
         *[f"{value} as {quoted(name)}" for name, value in formats.items()],
-        "explode_outer(split(_annotations, ',')) as _annotation",
+        f"explode_outer({own_annotations(header)}) as _annotation",
     ).withColumn("_parts", F.split("_annotation", r"\|"))
     annotations = {f"ANN['{name}']": annotation_value(i, name) for i, name in enumerate(header.annotation)}
     return annotated.selectExpr(
