@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -62,3 +62,5 @@ def slices(text: pa.Array, size: int) -> Iterator[pa.Array]:
         to = max(at + 1, int(np.searchsorted(ends, base + size, "right")))
         yield text.slice(at, to - at)
         at = to
+    # A worker lives on after its task; what it no longer needs goes back to the system.
+    pa.default_memory_pool().release_unused()

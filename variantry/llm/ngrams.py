@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from variantry.llm.arrow_text import code_points, filled, slices
 
 #: Bytes of text whose n-grams are held at once.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 #: Odd multipliers that mix bits.
 SPREAD, MIX, LAST = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 

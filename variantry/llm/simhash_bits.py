@@ -10,7 +10,7 @@ import xxhash
 from variantry.llm.arrow_text import word_lists
 
 SEED = 42
-CHUNK = 1 << 19
+CHUNK = 1 << 16
 
 
 def fingerprints(text: pa.Array, width: int) -> np.ndarray:
