@@ -654,24 +654,29 @@ def dataset_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_dataset(spark, path)
 
 
-@query(
-    f"""select {listed(SITE_KEYS)}, string_agg(distinct family, ';' order by family) as family, count(*) as "ROW_COUNT",
+STORED_COHORT_SQL = f"""select {listed(SITE_KEYS)}, string_agg(distinct family, ';' order by family) as family, count(*) as "ROW_COUNT",
     {', '.join(f"max(af) filter (where family = '{name}') as {q('AF_' + name)}" for name in ('A', 'N', 'R'))}
     from (select CHROM, POS, case "REF" when 'A' then 'A' when 'N' then 'N' else 'R' end as family, 'x' as "REF", "ALT",
       max({q(AF)}) as af from variants group by all) group by {listed(SITE_KEYS)}"""
-)
-def cohort_of_stored_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Store one dataset per family, read them all, check them and combine them."""
+
+
+def stored_families(spark: SparkSession, sf_dir: str, named: bool = True) -> list[str]:
+    """One dataset per value of REF, which is its family."""
     paths = []
     for name in ("A", "N", "R"):
         rows = variants(spark, sf_dir).where(F.col("REF") == name)
-        dataset = rows.groupBy("CHROM", "POS", F.lit("x").alias("REF"), "ALT").agg(
-            F.max(col(AF)).alias(AF), F.lit(name).alias("family")
-        )
+        family = [F.lit(name).alias("family")] if named else []
+        dataset = rows.groupBy("CHROM", "POS", F.lit("x").alias("REF"), "ALT").agg(F.max(col(AF)).alias(AF), *family)
         path = scratch_path(spark, f"family_{name}")
         write_dataset(dataset, path)
         paths.append(path)
-    df, names = read_datasets(spark, paths)
+    return paths
+
+
+@query(STORED_COHORT_SQL)
+def cohort_of_stored_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Store one dataset per family, read them all, check them and combine them."""
+    df, names = read_datasets(spark, stored_families(spark, sf_dir))
     return list_text(combine(df, names), ["family"])
 
 

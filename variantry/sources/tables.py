@@ -8,6 +8,7 @@ import warnings
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -116,11 +117,16 @@ class Stored:
     table: T.StructType
 
 
-def _inspect(spark: SparkSession, path: str) -> Stored | PySparkException:
+def _inspect(spark: SparkSession, path: str) -> Stored | Exception:
     try:
         return Stored(spark.read.parquet(path).schema, read_dataset(spark, path).schema)
     except PySparkException as error:
         return error
+    except Py4JJavaError as error:
+        # Files of another format are only told by their footers, in a Spark job.
+        if "CANNOT_READ_FILE_FOOTER" not in str(error) and "is not a Parquet file" not in str(error):
+            raise
+        return error
 
 
 def valid_datasets(spark: SparkSession, paths: list[str]) -> dict[str, Stored]:
@@ -129,8 +135,8 @@ def valid_datasets(spark: SparkSession, paths: list[str]) -> dict[str, Stored]:
         found = dict(zip(paths, readers.map(lambda path: _inspect(spark, path), paths)))
     valid = {}
     for path, stored in found.items():
-        if isinstance(stored, PySparkException):
-            warnings.warn(f"dataset {path} cannot be read: {stored}", stacklevel=2)
+        if isinstance(stored, Exception):
+            warnings.warn(f"dataset {path} cannot be read: {str(stored)[:500]}", stacklevel=2)
             continue
         if SOURCE_DATASET not in stored.table.names:
             warnings.warn(f"dataset {path} lacks {SOURCE_DATASET}, was it collapsed?", stacklevel=2)
