@@ -127,12 +127,13 @@ def keep_one(
 ) -> DataFrame:
     """The row with the smallest id (null last) of each component, with all its columns.
 
-    Rows whose fingerprint has no other row in its component stay where they are, found by a fixed-size bitmap of the
-    fingerprints that have; only the texts of the others are shuffled, combined by component in each task.
+    Rows are stored once with their fingerprints, which are costly and needed three times. Rows whose fingerprint has
+    no other row in its component stay where they are, found by a fixed-size bitmap of the fingerprints that have; only
+    the texts of the others are shuffled, combined by component in each task.
     """
     whole = docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("doc"))
-    printed = whole.select("doc", fingerprint(F.col(f"doc.`{text_col}`"), width).alias("print"))
-    grouped = _grouped(stored(printed.select(F.col(f"doc.`{id_col}`").alias("id"), "print"), "prints"), distance)
+    printed = stored(whole.select("doc", fingerprint(F.col(f"doc.`{text_col}`"), width).alias("print")), "printed")
+    grouped = _grouped(printed.select(F.col(f"doc.`{id_col}`").alias("id"), "print"), distance)
     several = grouped.groupBy("root").agg(F.sum("n").alias("rows")).where("rows > 1").select("root")
     several = stored(grouped.join(several, "root").select("print", "root"), "several")
     parted = marked(printed, "print", bitmap(several.select(F.col("print").alias("key")), words), "shared", words)
