@@ -37,11 +37,12 @@ from variantry.plans.catalogue import (
     with_cells,
     written,
 )
-from variantry.plans.driver_tables import regions, table, variants
+from variantry.plans.driver_tables import FAMILIES, regions, table, variants
 from variantry.plans.pipeline import run_cohort, run_collapse, run_narrow
 from variantry.session import scratch_path
 from variantry.sinks import as_text, value_types, write_dataset
 from variantry.sources.tables import read_dataset, read_datasets, read_delimited, read_path_list
+from variantry.sources.vcf import read_vcf
 
 # --- the jobs --------------------------------------------------------------------------
 
@@ -100,6 +101,46 @@ def narrow_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_dataset(spark, output)
 
 
+# --- VCF files -------------------------------------------------------------------------
+
+FILE_HEADER = [
+    '##INFO=<ID=DP,Number=1,Type=Integer,Description="Depth">',
+    '##INFO=<ID=AF,Number=1,Type=Float,Description="Frequency">',
+    '##INFO=<ID=LST,Number=.,Type=Integer,Description="A list">',
+    "##INFO=<ID=ANN,Number=.,Type=String,Description=\"Functional annotations: 'Allele | Gene_Name'\">",
+    '##FORMAT=<ID=GT,Number=1,Type=String,Description="Genotype">',
+]
+
+
+@query(
+    """select concat('F', s_nationkey, side) as "SAMPLE", concat('chr', l_partkey % 22 + 1) as "CHROM", l_partkey as "POS", 'A' as "REF",
+      'T' as "ALT", l_quantity as "QUAL", '[]' as "FILTER", cast(null as varchar) as "ID", l_linenumber as "INFO['DP']",
+      cast(cast(l_tax as float) as double) as "INFO['AF']", concat('(', l_suppkey, ',)') as "INFO['LST']",
+      case side when '_L' then '(0, 1)' else '(1, 1)' end as "FORMAT['GT']", 'T' as "ANN['Allele']", concat('g', l_suppkey) as "ANN['Gene_Name']"
+    from lineitem join supplier on l_suppkey = s_suppkey, (values ('_L'), ('_R')) sides(side)"""
+)
+def vcf_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file per nation, each with samples of its own, written as text and read in one scan."""
+    families = table(spark, sf_dir, "nation").selectExpr("concat('F', n_nationkey) as family")
+    columns = "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT"
+    fixed = families.select("family", F.posexplode(F.array(*[F.lit(line) for line in FILE_HEADER])).alias("place", "value"))
+    named = families.select(
+        "family", F.lit(len(FILE_HEADER)).alias("place"),
+        F.concat(F.lit(columns + "\t"), "family", F.lit("_L\t"), "family", F.lit("_R")).alias("value"),
+    )
+    records = table(spark, sf_dir, "lineitem").join(
+        table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")
+    ).selectExpr(
+        "concat('F', s_nationkey) as family", f"{len(FILE_HEADER) + 1} as place",
+        """concat_ws('\t', concat('chr', l_partkey % 22 + 1), l_partkey, '.', 'A', 'T', l_quantity, '.',
+          concat('DP=', l_linenumber, ';AF=', l_tax, ';LST=', l_suppkey, ';ANN=T|g', l_suppkey), 'GT', '0/1', '1/1') as value""",
+    )
+    path = scratch_path(spark, "vcf")
+    lines = fixed.union(named).union(records).repartition("family").sortWithinPartitions("family", "place")
+    lines.drop("place").write.partitionBy("family").text(path)
+    return read_vcf(spark, [f"{path}/family={name}" for name in FAMILIES]).drop(ROW_ORDER)
+
+
 # --- lists of datasets -----------------------------------------------------------------
 
 FAMILY_ROWS_SQL = (

@@ -17,6 +17,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(file_system.exists(hadoop))
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    hadoop, file_system = _hadoop_path(spark, path)
+    return bool(file_system.exists(hadoop)) and bool(file_system.getFileStatus(hadoop).isDirectory())
+
+
 def location(spark: SparkSession, path: str) -> str:
     """The path in the form `without_scheme` gives to the paths Spark reports for rows."""
     hadoop, file_system = _hadoop_path(spark, path)

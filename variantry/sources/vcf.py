@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from variantry.functions.text import double_text_sql, quoted
 from variantry.names import ROW_ORDER
+from variantry.sources.files import exists, is_folder, location
 
 # Annotation fields that are not plain text.
 RANGE_FIELDS = ("cDNA.pos / cDNA.length", "CDS.pos / CDS.length", "AA.pos / AA.length")
@@ -18,6 +20,9 @@ LIST_FIELDS = ("ERRORS / WARNINGS / INFO",)
 
 HEADER_CHUNK = 1_000
 MAX_HEADER = 1_000_000
+DRIVER_READERS = 16
+#: Of lines from files with samples of different names: the names in the line's file.
+NAMES = "_names"
 
 
 @dataclass(frozen=True)
@@ -167,9 +172,13 @@ def flatten_vcf(lines: DataFrame, header: VcfHeader, annotation_key: str = "ANN"
     has its own values of fields with one value per allele, and the annotations that name
     it or none of the record's alleles; without any, its annotation fields are null.
     """
-    records = lines.where("not startswith(value, '#') and value != ''").select(F.split("value", "\t").alias("_fields"))
-    alleles = records.selectExpr("_fields", "split(_fields[4], ',') as _alts")
-    site = alleles.selectExpr("_fields", "_alts", "posexplode(_alts) as (_alt, ALT)").selectExpr(
+    own_names = [NAMES] if NAMES in lines.columns else []
+    records = lines.where("not startswith(value, '#') and value != ''").select(
+        F.split("value", "\t").alias("_fields"), *own_names
+    )
+    alleles = records.selectExpr("_fields", *own_names, "split(_fields[4], ',') as _alts")
+    site = alleles.selectExpr("_fields", *own_names, "_alts", "posexplode(_alts) as (_alt, ALT)").selectExpr(
+        *own_names,
         "_fields[0] as CHROM",
         "try_cast(_fields[1] as bigint) as POS",
         "_fields[3] as REF",
@@ -185,12 +194,12 @@ def flatten_vcf(lines: DataFrame, header: VcfHeader, annotation_key: str = "ANN"
     if "INFO['END']" in info:
         info["INFO['END']"] = f"coalesce({info["INFO['END']"]}, POS + length(REF) - 1)"
     site = site.selectExpr(
-        "CHROM", "POS", "REF", "ALT", "QUAL", "FILTER", "ID", "_format", "_samples", "_alt", "_alts",
+        "CHROM", "POS", "REF", "ALT", "QUAL", "FILTER", "ID", "_format", "_samples", "_alt", "_alts", *own_names,
         *[f"{value} as {quoted(name)}" for name, value in info.items()],
         f"{info_value(Field(annotation_key, '1', 'String'))} as _annotations",
     )
     if header.samples:
-        names = F.array(*[F.lit(name) for name in header.samples])
+        names = F.col(NAMES) if own_names else F.array(*[F.lit(name) for name in header.samples])
         called = site.select("*", F.posexplode("_samples").alias("_sample", "_values")).withColumns(
             {"SAMPLE": F.get(names, F.col("_sample")), "_call": F.split("_values", ":")}
         )
@@ -214,10 +223,28 @@ def flatten_vcf(lines: DataFrame, header: VcfHeader, annotation_key: str = "ANN"
 
 
 def read_vcf(spark: SparkSession, paths: list[str] | str, annotation_key: str = "ANN") -> DataFrame:
-    """VCF files as one long table; files whose headers agree are read in one scan."""
+    """VCF files as one long table.
+
+    Files that declare the same fields are read in one scan. If their samples have other names, these
+    come from a table with a row per file.
+    """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    by_header: dict[VcfHeader, list[str]] = {}
-    for path in paths:
-        by_header.setdefault(parse_header(header_lines(spark, path), annotation_key), []).append(path)
-    tables = [flatten_vcf(spark.read.text(group), header, annotation_key) for header, group in by_header.items()]
+    with ThreadPoolExecutor(DRIVER_READERS) as readers:
+        headers = list(readers.map(lambda path: parse_header(header_lines(spark, path), annotation_key), paths))
+    groups: dict[tuple, list[int]] = {}
+    for i, header in enumerate(headers):
+        # A pattern stands for several files, which share the header of the first.
+        samples = () if exists(spark, paths[i]) else header.samples
+        key = (header.info, header.format, header.annotation, len(header.samples), samples, is_folder(spark, paths[i]))
+        groups.setdefault(key, []).append(i)
+    tables = []
+    for key, members in groups.items():
+        lines = spark.read.text([paths[i] for i in members])
+        if len({headers[i].samples for i in members}) > 1:
+            place = "regexp_replace(_metadata.file_path, '/[^/]*$', '')" if key[-1] else "_metadata.file_path"
+            names = spark.createDataFrame(
+                [(location(spark, paths[i]), list(headers[i].samples)) for i in members], f"_file string, {NAMES} array<string>"
+            )
+            lines = lines.selectExpr("value", f"regexp_replace({place}, '^file:/+', '/') as _file").join(names, "_file")
+        tables.append(flatten_vcf(lines, headers[members[0]], annotation_key))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
