@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from variantry.llm import language, licenses, lm, quality, toxicity, urls
+from variantry.llm.audit import filter_interactions
 from variantry.llm.bpe import round_trip
 from variantry.llm.exact import duplicate_groups
 from variantry.llm.mix import mixed_sizes
@@ -91,6 +92,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_groups(documents(spark, sf_dir))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_interactions(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_language_id": op2_language_id,
@@ -102,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_quality_rules": op9_quality_rules,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_filter_audit": op11_filter_audit,
 }
 
 ORACLES: dict[str, str] = {
@@ -154,5 +160,43 @@ select doc_id, first_value(doc_id) over best as keep_id, count(*) over (partitio
   doc_id = first_value(doc_id) over best as kept, sha256(norm) as text_sha256
 from texts
 window best as (partition by norm order by n_chars desc, doc_id rows between unbounded preceding and unbounded following)
+""",
+    "op11_filter_audit": r"""
+with texts as (
+  select doc_id, coalesce(lang, '') as part, coalesce(text, '') as text,
+    [word for word in string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') if word <> ''] as words
+  from documents),
+labelled as (
+  select doc_id, coalesce(bool_or(quality = 1), false) as good, coalesce(bool_or(toxic = 1), false) as toxic from labels group by doc_id),
+failed as (
+  select part, coalesce(good, false) as good, coalesce(toxic, false) as toxic, concat(
+    case when len(words) < 200 then 'A' else '' end,
+    case when 100 * len(list_distinct(words)) < 50 * len(words) then 'B' else '' end,
+    case when 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) then 'C' else '' end,
+    case when regexp_matches(text, '[#$%&*|]') then 'D' else '' end,
+    case when min(t.doc_id) over (partition by text) < t.doc_id then 'E' else '' end) as mask
+  from texts t left join labelled l on t.doc_id = l.doc_id),
+weighed as (
+  select part, mask, count(*) as documents, count_if(good) as good, count_if(toxic) as toxic from failed group by part, mask),
+letters(letter) as (values ('A'), ('B'), ('C'), ('D'), ('E')),
+orders as (
+  select concat(a.letter, b.letter, c.letter, d.letter, e.letter) as filter_order
+  from letters a join letters b on b.letter <> a.letter join letters c on c.letter not in (a.letter, b.letter)
+  join letters d on d.letter not in (a.letter, b.letter, c.letter)
+  join letters e on e.letter not in (a.letter, b.letter, c.letter, d.letter)),
+ranked as (
+  select *, coalesce(list_min([strpos(filter_order, letter) for letter in string_split(mask, '') if letter <> '']), 6) as removal
+  from weighed, orders),
+steps as (select filter_order, unnest(range(1, 6))::int as step from orders),
+counted as (
+  select part, r.filter_order, step, substr(r.filter_order, step, 1) as letter,
+    sum(case when removal > step then documents else 0 end)::bigint as kept,
+    sum(case when removal = step then documents else 0 end)::bigint as removed,
+    sum(case when removal < step and contains(mask, substr(r.filter_order, step, 1)) then documents else 0 end)::bigint as redundant,
+    sum(case when mask = substr(r.filter_order, step, 1) then documents else 0 end)::bigint as unique_fails,
+    sum(case when removal = step then good else 0 end)::bigint as good_lost,
+    sum(case when removal = step then toxic else 0 end)::bigint as toxic_lost
+  from ranked r join steps s on r.filter_order = s.filter_order group by all)
+select * exclude (letter), (sum(removed) over (partition by part, letter))::bigint as shapley from counted
 """,
 }
