@@ -13,6 +13,7 @@ from variantry.llm.audit import filter_interactions
 from variantry.llm.bpe import round_trip
 from variantry.llm.exact import duplicate_groups
 from variantry.llm.mix import mixed_sizes
+from variantry.llm.search import search
 from variantry.llm.simhash import near_duplicates
 from variantry.llm.words import id_remainder
 
@@ -96,6 +97,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_interactions(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_language_id": op2_language_id,
@@ -108,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_filter_audit": op11_filter_audit,
+    "op12_ranked_search": op12_ranked_search,
 }
 
 ORACLES: dict[str, str] = {
@@ -198,5 +204,28 @@ counted as (
     sum(case when removal = step then toxic else 0 end)::bigint as toxic_lost
   from ranked r join steps s on r.filter_order = s.filter_order group by all)
 select * exclude (letter), (sum(removed) over (partition by part, letter))::bigint as shapley from counted
+""",
+    "op12_ranked_search": r"""
+with words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms
+  from documents),
+sizes as (
+  select count(*)::bigint as n_docs, sum(len(terms))::bigint as n_terms from words where len(terms) > 0),
+found as (
+  select doc_id, term, count(*)::bigint as tf, any_value(n)::bigint as n
+  from (select doc_id, len(terms) as n, unnest(terms) as term from words) group by doc_id, term),
+frequencies as (select term, count(*)::bigint as df from found group by term),
+asked as (
+  select distinct item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from benchmark),
+scored as (
+  select item_id, doc_id, sum(floor(1000 * ln((2 * n_docs + 2)::double / (2 * df + 1)::double))::bigint
+    * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_terms))))::bigint as score
+  from asked join found using (term) join frequencies using (term), sizes group by item_id, doc_id)
+select item_id, (row_number() over (partition by item_id order by score desc, doc_id))::int as rank, doc_id, score
+from scored where score > 0 qualify rank <= 10
 """,
 }
