@@ -12,6 +12,7 @@ from variantry.llm import language, licenses, lm, quality, toxicity, urls
 from variantry.llm.audit import filter_interactions
 from variantry.llm.bpe import round_trip
 from variantry.llm.exact import duplicate_groups
+from variantry.llm.jaccard import jaccard_components
 from variantry.llm.mix import mixed_sizes
 from variantry.llm.search import search
 from variantry.llm.simhash import near_duplicates
@@ -101,6 +102,10 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_language_id": op2_language_id,
@@ -114,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_exact_dedup": op10_exact_dedup,
     "op11_filter_audit": op11_filter_audit,
     "op12_ranked_search": op12_ranked_search,
+    "op13_jaccard_join": op13_jaccard_join,
 }
 
 ORACLES: dict[str, str] = {
@@ -227,5 +233,25 @@ scored as (
   from asked join found using (term) join frequencies using (term), sizes group by item_id, doc_id)
 select item_id, (row_number() over (partition by item_id order by score desc, doc_id))::int as rank, doc_id, score
 from scored where score > 0 qualify rank <= 10
+""",
+    "op13_jaccard_join": r"""
+with recursive texts as (
+  select doc_id, [word for word in string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') if word <> ''] as words
+  from documents),
+sets as (
+  select doc_id, unnest(list_distinct(case when len(words) between 1 and 4 then [array_to_string(words, ' ')]
+    else [array_to_string(words[i:i + 4], ' ') for i in range(1, len(words) - 3)] end)) as shingle
+  from texts),
+sizes as (select doc_id, count(*)::bigint as n from sets group by doc_id),
+pairs as (
+  select a.doc_id as a, b.doc_id as b, count(*) as shared
+  from sets a join sets b on a.shingle = b.shingle and a.doc_id <> b.doc_id group by a.doc_id, b.doc_id),
+links as (
+  select a, b from pairs join sizes x on a = x.doc_id join sizes y on b = y.doc_id where 100 * shared >= 80 * (x.n + y.n - shared)),
+reached(doc_id, other) as (
+  select doc_id, doc_id from texts union select r.doc_id, l.b from reached r join links l on r.other = l.a)
+select r.doc_id, coalesce(any_value(n), 0)::bigint as n_shingles, min(other) as component_id
+from reached r left join sizes s on r.doc_id = s.doc_id group by r.doc_id
 """,
 }
