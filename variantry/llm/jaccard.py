@@ -210,22 +210,33 @@ def overlaps(docs: DataFrame, classes: DataFrame, pairs: DataFrame, text_col: st
 
 
 def _lists(classes: DataFrame) -> DataFrame:
-    """Places (token, set, n, pos) in lists of two or more sets, with the list's length and its pivot."""
+    """Places (token, set, n, pos) in lists of two or more sets, with the list's length and its pivot.
+
+    The pivot is the set that holds the shingle earliest: of near copies, the one with the fewest shingles of its own.
+    """
     entries = classes.select("set", "n", F.posexplode("prefix").alias("pos", "token"))
     whole = Window.partitionBy("token")
     listed = entries.select(
-        "token", "set", "n", "pos", F.count(F.lit(1)).over(whole).alias("length"), F.min(F.struct("n", "set")).over(whole).alias("pivot")
+        "token", "set", "n", "pos", F.count(F.lit(1)).over(whole).alias("length"),
+        F.min(F.struct("pos", "set", "n")).over(whole).alias("pivot"),
+    )
+    listed = listed.where("length > 1").select(
+        "token", "set", "n", "pos", "length", F.col("pivot.set").alias("pivot"), F.col("pivot.n").alias("pivot_n")
     )
-    listed = listed.where("length > 1").select("token", "set", "n", "pos", "length", F.col("pivot.set").alias("pivot"), F.col("pivot.n").alias("pivot_n"))
     return stored(listed, "lists")
 
 
 def _stars(docs: DataFrame, classes: DataFrame, lists: DataFrame, text_col: str, width: int) -> DataFrame:
-    """Sets (b) linked with the pivot (a) that they share most lists with, and their overlap."""
-    met = lists.where("`set` <> pivot and 5 * pivot_n >= 4 * n").groupBy(F.col("set").alias("b"), F.col("pivot").alias("a")).agg(
+    """Sets (b) linked with the pivot (a) that they share most lists with, and their overlap.
+
+    A set may meet its pivot in some of the lists they share only, so half of what a linked pair shares is enough here.
+    """
+    met = lists.where("`set` <> pivot and 5 * pivot_n >= 4 * n and 5 * n >= 4 * pivot_n")
+    met = met.groupBy(F.col("set").alias("b"), F.col("pivot").alias("a")).agg(
         F.count(F.lit(1)).alias("shared"), F.first("n").alias("nb"), F.first("pivot_n").alias("na")
     )
-    enough = met.where(f"shared + {_beyond('nb')} >= {needed('na', 'nb')}")
+    beyond = f"greatest({_beyond('na')}, {_beyond('nb')})"
+    enough = met.where(f"2 * shared + {beyond} >= {needed('na', 'nb')}")
     best = enough.groupBy("b").agg(F.max(F.struct("shared", "a", "na", "nb")).alias("best")).select("b", "best.*")
     best = stored(best, "best")
     compared = overlaps(docs, classes, best, text_col, width)
