@@ -23,7 +23,7 @@ def parser() -> argparse.ArgumentParser:
     flatten.add_argument("--dtypes")
     flatten.add_argument("--tsv")
 
-    load = jobs.add_parser("ingest", help="annotation TSV files to one typed dataset")
+    load = jobs.add_parser("ingest", help="annotation TSV and VCF files to one typed dataset, with the family of each file")
     load.add_argument("inputs", nargs="+")
     load.add_argument("--output", required=True)
     load.add_argument("--dtypes")

@@ -9,6 +9,8 @@ from typing import Any
 
 import yaml
 
+from variantry.sources.files import whole_text
+
 # The operators a rule may use.
 ORDERING = ("<", "<=", ">", ">=")
 OPERATORS = ("==", "!=", *ORDERING, "in", "not_in", "contains", "not_contains")
@@ -84,8 +86,7 @@ class PipelineConfig:
 
     @classmethod
     def from_yaml(cls, path: str) -> PipelineConfig:
-        with open(path, encoding="utf-8") as handle:
-            return cls(yaml.safe_load(handle) or {})
+        return cls(yaml.safe_load(whole_text(path)) or {})
 
     def get(self, key_path: list[str], fallback: Any = None) -> Any:
         """The value under nested keys, or the fallback if any key is missing."""

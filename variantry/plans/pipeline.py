@@ -12,7 +12,7 @@ from variantry.config import PipelineConfig
 from variantry.functions.predicates import apply_rules
 from variantry.functions.schema import coerce_types, drop_columns, fixed_types, rename_columns, with_provenance
 from variantry.names import COLLAPSE_KEYS, ROW_ORDER, SITE_KEYS, SOURCE_DATASET
-from variantry.operators.cohort import check_cutoff, cohort
+from variantry.operators.cohort import check_cutoff, cohort, union_aligned
 from variantry.operators.collapse import available_keys, collapse
 from variantry.operators.gather import with_row_order
 from variantry.operators.membership import Listing, match_any, match_genes
@@ -35,6 +35,10 @@ from variantry.sources.tables import (
     read_delimited,
     read_sidecar,
 )
+from variantry.sources.vcf import read_vcf
+
+
+TEXT_FILES, VCF_FILES = (".tsv",), (".vcf", ".vcf.gz", ".vcf.bgz")
 
 
 def ingest(
@@ -44,14 +48,19 @@ def ingest(
     dtypes: dict[str, str] | None = None,
     renames: dict[str, str] | None = None,
 ) -> dict:
-    """Type annotation TSV files and store them as one dataset, partitioned by family."""
-    check_inputs(spark, inputs, ".tsv")
-    table = read_delimited(spark, inputs, provenance=True)
-    renamed = rename_columns(table, renames or {})
+    """Type annotation TSV and VCF files and store them as one dataset, partitioned by family.
+
+    Every row has the family and name of its file. Files of one kind with the same header share one scan. Columns that a
+    file lacks are null in its rows; a column that has numbers in one kind of file and text in another is text.
+    """
+    check_inputs(spark, inputs, TEXT_FILES + VCF_FILES)
+    texts, calls = ([path for path in inputs if path.endswith(kinds)] for kinds in (TEXT_FILES, VCF_FILES))
+    tables = [read_delimited(spark, texts, provenance=True)] if texts else []
+    tables += [read_vcf(spark, calls, provenance=True)] if calls else []
     # The row order is no text and must stay as it is.
     declared = {name: kind for name, kind in (dtypes or {}).items() if name != ROW_ORDER}
-    typed = fixed_types(coerce_types(renamed, declared), declared)
-    return write_dataset(typed, output, {"source_files": inputs}, partition_by=["family"])
+    typed = [fixed_types(coerce_types(rename_columns(table, renames or {}), declared), declared) for table in tables]
+    return write_dataset(union_aligned(typed), output, {"source_files": inputs}, partition_by=["family"])
 
 
 def ingest_table(df: DataFrame, path: str, output: str, dtypes: dict[str, str] | None = None) -> dict:

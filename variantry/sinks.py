@@ -37,6 +37,8 @@ def write_dataset(df: DataFrame, path: str, metadata: dict | None = None, partit
     visible = [name for name in df.columns if name != ROW_ORDER]
     record = {
         "column_order": df.columns,
+        "schema": df.schema.jsonValue(),
+        "partition_by": partition_by or [],
         "final_shape": [spark.read.parquet(path).count(), len(visible)],
         **(metadata or {}),
     }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import io
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from variantry.config import ConfigError
 from variantry.functions.text import WHITESPACE, col
 from variantry.names import ROW_ORDER
 from variantry.operators.membership import chromosome
+from variantry.sources.files import whole_text
 from variantry.sources.tables import read_delimited
 
 # Accepted headers, compared in lower case.
@@ -70,12 +72,11 @@ def read_regions(spark: SparkSession, path: str) -> DataFrame:
 
 def read_dtypes(path: str) -> dict[str, str]:
     """`{column: dtype}` from a small CSV file with the columns column_name and dtype."""
-    with open(path, newline="", encoding="utf-8") as handle:
-        rows = [((row.get("column_name") or "").strip(), (row.get("dtype") or "").strip()) for row in csv.DictReader(handle)]
+    lines = csv.DictReader(io.StringIO(whole_text(path)))
+    rows = [((row.get("column_name") or "").strip(), (row.get("dtype") or "").strip()) for row in lines]
     return {name: dtype for name, dtype in rows if name and dtype}
 
 
 def read_renames(path: str) -> dict[str, str]:
     """`{old: new}` from the rows of a small CSV file that have exactly two fields."""
-    with open(path, newline="", encoding="utf-8") as handle:
-        return {row[0]: row[1] for row in csv.reader(handle) if len(row) == 2}
+    return {row[0]: row[1] for row in csv.reader(io.StringIO(whole_text(path))) if len(row) == 2}

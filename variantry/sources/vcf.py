@@ -10,19 +10,20 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variantry.functions.text import double_text_sql, quoted
+from variantry.functions.text import col, double_text_sql, quoted
 from variantry.names import ROW_ORDER
-from variantry.sources.files import exists, is_folder, location
+from variantry.sources.files import expanded, input_path, is_folder, leading_lines, location, provenance_sql
 
 # Annotation fields that are not plain text.
 RANGE_FIELDS = ("cDNA.pos / cDNA.length", "CDS.pos / CDS.length", "AA.pos / AA.length")
 LIST_FIELDS = ("ERRORS / WARNINGS / INFO",)
 
-HEADER_CHUNK = 1_000
-MAX_HEADER = 1_000_000
+MAX_HEADER_BYTES = 1 << 28
 DRIVER_READERS = 16
-#: Of lines from files with samples of different names: the names in the line's file.
-NAMES = "_names"
+#: The place of a row's sample in its file, where samples are named later.
+SAMPLE_PLACE = "_sample"
+#: The path of a row's file.
+FILE = "_file"
 
 
 @dataclass(frozen=True)
@@ -63,18 +64,15 @@ def parse_header(lines: list[str], annotation_key: str = "ANN") -> VcfHeader:
 
 
 def header_lines(spark: SparkSession, path: str) -> list[str]:
-    """The lines up to the column header, read from the front of the file."""
-    count = HEADER_CHUNK
-    while True:
-        lines = [row[0] for row in spark.read.text(path).head(count)]
-        for i, line in enumerate(lines):
-            if line.startswith("#CHROM"):
-                return lines[: i + 1]
-            if not line.startswith("##"):
-                raise ValueError(f"{path} has no #CHROM line")
-        if len(lines) < count or count >= MAX_HEADER:
-            raise ValueError(f"{path} has no #CHROM line")
-        count *= 10
+    """The lines up to the column header, read from the front of the file without a Spark job."""
+    lines = []
+    for line in leading_lines(spark, path, MAX_HEADER_BYTES):
+        lines.append(line)
+        if line.startswith("#CHROM"):
+            return lines
+        if not line.startswith("##"):
+            break
+    raise ValueError(f"{path} has no #CHROM line")
 
 
 # The expressions of a field are SQL texts, since a header may declare hundreds.
@@ -118,13 +116,24 @@ def field_value(text: str, field: Field) -> str:
     return given(text)
 
 
+def info_struct(text: str, keys: list[str]) -> str:
+    """The values of some keys out of the `key=value` entries of a record.
+
+    The entries are read as one JSON object, which costs time in proportion to their number, however many keys
+    there are. They go in backwards, as of a key that stands there twice the last counts in JSON, and here the first.
+    """
+    escaped = f"""regexp_replace({text}, '["\\\\\\\\]', '\\\\\\\\$0')"""
+    key, value = "substring_index(entry, '=', 1)", "if(contains(entry, '='), substring(entry, instr(entry, '=') + 1), '')"
+    members = f"""transform(reverse(split({escaped}, ';')), entry -> concat('"', {key}, '":"', {value}, '"'))"""
+    schema = ", ".join(f"{quoted(name)} string" for name in dict.fromkeys(keys)).replace("'", "\\'")
+    options = "map('mode', 'FAILFAST', 'allowUnquotedControlChars', 'true')"
+    return f"from_json(concat('{{', array_join({members}, ','), '}}'), '{schema}', {options})"
+
+
 def info_value(field: Field) -> str:
-    """One INFO field out of the `key=value` entries of a record."""
-    prefix = f"{field.name}="
-    if field.number == "0":
-        return f"exists(_entries, entry -> entry = '{field.name}' or startswith(entry, '{prefix}'))"
-    hit = f"get(filter(_entries, entry -> startswith(entry, '{prefix}')), 0)"
-    return field_value(f"substring({hit}, {len(prefix) + 1})", field)
+    """One INFO field of a record; a flag is told by its key."""
+    held = f"_info.{quoted(field.name)}"
+    return f"{held} is not null" if field.number == "0" else field_value(held, field)
 
 
 def call_value(field: Field) -> str:
@@ -165,28 +174,31 @@ def own_annotations(header: VcfHeader) -> str:
     return f"if(size(_alts) > 1, {mine}, {entries})"
 
 
-def flatten_vcf(lines: DataFrame, header: VcfHeader, annotation_key: str = "ANN") -> DataFrame:
+def flatten_vcf(
+    lines: DataFrame, header: VcfHeader, annotation_key: str = "ANN", keep: tuple[str, ...] = (), numbered: bool = False
+) -> DataFrame:
     """VCF lines (a text column `value`) as a long table in the order of the lines.
 
     Every alternative allele and every sample of a record gets its own rows. An allele
     has its own values of fields with one value per allele, and the annotations that name
     it or none of the record's alleles; without any, its annotation fields are null.
+    The columns `keep` of the lines come first. With `numbered`, samples have their place
+    in SAMPLE_PLACE, a last column, and no name.
     """
-    own_names = [NAMES] if NAMES in lines.columns else []
-    records = lines.where("not startswith(value, '#') and value != ''").select(
-        F.split("value", "\t").alias("_fields"), *own_names
-    )
-    alleles = records.selectExpr("_fields", *own_names, "split(_fields[4], ',') as _alts")
-    site = alleles.selectExpr("_fields", *own_names, "_alts", "posexplode(_alts) as (_alt, ALT)").selectExpr(
-        *own_names,
+    records = lines.where("not startswith(value, '#') and value != ''").select(F.split("value", "\t").alias("_fields"), *keep)
+    alleles = records.selectExpr("_fields", *keep, "split(_fields[4], ',') as _alts")
+    keys = [*[field.name for field in header.info], annotation_key]
+    site = alleles.selectExpr("*", f"{info_struct('_fields[7]', keys)} as _info").selectExpr(
+        "_fields", *keep, "_alts", "_info", "posexplode(_alts) as (_alt, ALT)"
+    ).selectExpr(
+        *keep,
         "_fields[0] as CHROM",
         "try_cast(_fields[1] as bigint) as POS",
         "_fields[3] as REF",
-        "ALT", "_alt", "_alts",
+        "ALT", "_alt", "_alts", "_info",
         f"{single(given('_fields[5]'))} as QUAL",
         f"{list_text("filter(split(_fields[6], ';'), part -> part != '.')")} as FILTER",
         f"{given('_fields[2]')} as ID",
-        "split(_fields[7], ';') as _entries",
         "split(get(_fields, 8), ':') as _format",
         f"slice(_fields, 10, {max(len(header.samples), 1)}) as _samples",
     )
@@ -194,21 +206,23 @@ def flatten_vcf(lines: DataFrame, header: VcfHeader, annotation_key: str = "ANN"
     if "INFO['END']" in info:
         info["INFO['END']"] = f"coalesce({info["INFO['END']"]}, POS + length(REF) - 1)"
     site = site.selectExpr(
-        "CHROM", "POS", "REF", "ALT", "QUAL", "FILTER", "ID", "_format", "_samples", "_alt", "_alts", *own_names,
+        *keep, "CHROM", "POS", "REF", "ALT", "QUAL", "FILTER", "ID", "_format", "_samples", "_alt", "_alts",
         *[f"{value} as {quoted(name)}" for name, value in info.items()],
         f"{info_value(Field(annotation_key, '1', 'String'))} as _annotations",
     )
     if header.samples:
-        names = F.col(NAMES) if own_names else F.array(*[F.lit(name) for name in header.samples])
-        called = site.select("*", F.posexplode("_samples").alias("_sample", "_values")).withColumns(
-            {"SAMPLE": F.get(names, F.col("_sample")), "_call": F.split("_values", ":")}
+        names = F.array(*[F.lit(None if numbered else name).cast("string") for name in header.samples])
+        called = site.select("*", F.posexplode("_samples").alias(SAMPLE_PLACE, "_values")).withColumns(
+            {"SAMPLE": F.get(names, F.col(SAMPLE_PLACE)), "_call": F.split("_values", ":")}
         )
     else:
-        called = site.withColumns({"SAMPLE": F.lit(None).cast("string"), "_call": F.array().cast("array<string>")})
+        called = site.withColumns({
+            "SAMPLE": F.lit(None).cast("string"), "_call": F.array().cast("array<string>"), SAMPLE_PLACE: F.lit(0),
+        })
     formats = {f"FORMAT['{field.name}']": call_value(field) for field in header.format}
-    fixed = ["SAMPLE", "CHROM", "POS", "REF", "ALT", "QUAL", "FILTER", "ID"]
+    fixed = [*keep, "SAMPLE", "CHROM", "POS", "REF", "ALT", "QUAL", "FILTER", "ID"]
     annotated = called.selectExpr(
-        *fixed,
+        *fixed, SAMPLE_PLACE,
         *[quoted(name) for name in info],
         *[f"{value} as {quoted(name)}" for name, value in formats.items()],
         f"explode_outer({own_annotations(header)}) as _annotation",
@@ -219,32 +233,43 @@ def flatten_vcf(lines: DataFrame, header: VcfHeader, annotation_key: str = "ANN"
         *[quoted(name) for name in [*info, *formats]],
         *[f"{value} as {quoted(name)}" for name, value in annotations.items()],
         f"monotonically_increasing_id() as {ROW_ORDER}",
+        *([SAMPLE_PLACE] if numbered else []),
     )
 
 
-def read_vcf(spark: SparkSession, paths: list[str] | str, annotation_key: str = "ANN") -> DataFrame:
-    """VCF files as one long table.
+def _named(rows: DataFrame, files: list[tuple[str, VcfHeader]]) -> DataFrame:
+    """Rows of several files with the sample names of their own file; a row of any other file is an error."""
+    places = [(path, i, name) for path, header in files for i, name in enumerate(header.samples)]
+    names = rows.sparkSession.createDataFrame(places, "_root string, _place int, _name string")
+    found = rows.join(names, (F.col(FILE) == F.col("_root")) & (F.col(SAMPLE_PLACE) == F.col("_place")), "left")
+    lost = F.raise_error(F.concat(F.lit("no header was read for "), F.col(FILE))).cast("string")
+    found = found.withColumn("SAMPLE", F.coalesce("_name", lost))
+    return found.select(*[col(name) for name in rows.columns if name not in (FILE, SAMPLE_PLACE)])
+
+
+def read_vcf(
+    spark: SparkSession, paths: list[str] | str, annotation_key: str = "ANN", provenance: bool = False
+) -> DataFrame:
+    """VCF files as one long table; `provenance` puts the family and name of each row's file first.
 
-    Files that declare the same fields are read in one scan. If their samples have other names, these
-    come from a table with a row per file.
+    Files that declare the same fields are read in one scan. If their samples have other names, these are joined
+    to the rows, which are numbered in the scan.
     """
-    paths = [paths] if isinstance(paths, str) else list(paths)
+    paths = [place for path in ([paths] if isinstance(paths, str) else paths) for place in expanded(spark, path) or [path]]
     with ThreadPoolExecutor(DRIVER_READERS) as readers:
         headers = list(readers.map(lambda path: parse_header(header_lines(spark, path), annotation_key), paths))
+        folders = list(readers.map(lambda path: is_folder(spark, path), paths))
     groups: dict[tuple, list[int]] = {}
     for i, header in enumerate(headers):
-        # A pattern stands for several files, which share the header of the first.
-        samples = () if exists(spark, paths[i]) else header.samples
-        key = (header.info, header.format, header.annotation, len(header.samples), samples, is_folder(spark, paths[i]))
-        groups.setdefault(key, []).append(i)
+        groups.setdefault((header.info, header.format, header.annotation, len(header.samples), folders[i]), []).append(i)
     tables = []
-    for key, members in groups.items():
+    for (*_, folder), members in groups.items():
+        same = len({headers[i].samples for i in members}) == 1
         lines = spark.read.text([paths[i] for i in members])
-        if len({headers[i].samples for i in members}) > 1:
-            place = "regexp_replace(_metadata.file_path, '/[^/]*$', '')" if key[-1] else "_metadata.file_path"
-            names = spark.createDataFrame(
-                [(location(spark, paths[i]), list(headers[i].samples)) for i in members], f"_file string, {NAMES} array<string>"
-            )
-            lines = lines.selectExpr("value", f"regexp_replace({place}, '^file:/+', '/') as _file").join(names, "_file")
-        tables.append(flatten_vcf(lines, headers[members[0]], annotation_key))
+        place = f"regexp_replace({input_path(folder)}, '^file:/+', '/') as {FILE}"
+        named = provenance_sql(folder) if provenance else []
+        lines = lines.selectExpr(*named, "value", *([] if same else [place]))
+        keep = tuple(name for name in lines.columns if name != "value")
+        rows = flatten_vcf(lines, headers[members[0]], annotation_key, keep, not same)
+        tables.append(rows if same else _named(rows, [(location(spark, paths[i]), headers[i]) for i in members]))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
