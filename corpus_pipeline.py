@@ -38,7 +38,8 @@ def encode_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of each document (little-endian unsigned 32-bit numbers), and the digest of the text they decode to."""
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
     decoded = F.sha2(bpe.decode(F.col("ids"), vocabulary), 256)
-    return bpe.encode(docs, vocabulary).select(
+    # Stored in between, so that tasks which encode need no second worker that decodes.
+    return stored(bpe.encode(docs, vocabulary), "ids").select(
         "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), decoded.alias("decoded_sha256"), "ids"
     )
 
