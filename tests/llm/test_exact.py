@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tests.llm.conftest import as_documents
 from variantry.llm.exact import drop_duplicates, duplicate_groups
+from variantry.llm.simhash import keep_one
 
 
 def plain(rows):
@@ -47,3 +48,13 @@ def test_empty_and_other_columns(spark):
     assert duplicate_groups(empty).collect() == [] and drop_duplicates(empty).columns == empty.columns
     odd = spark.createDataFrame([(1, "a", "h", 0), (2, "a ", "g", 1)], "doc_id long, text string, hash string, kept int")
     assert [tuple(r) for r in drop_duplicates(odd).collect()] == [(2, "a ", "g", 1)]
+
+
+def test_text_ids(spark):
+    rows = [("b", "x y"), ("a", "x  y"), ("c", "xy"), (None, "x   y"), ("d", "z")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    found = {(r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in duplicate_groups(docs).collect()}
+    assert found == {("a", None, 4, False), ("b", None, 4, False), ("c", None, 4, False), (None, None, 4, True), ("d", "d", 1, True)}
+    assert sorted((r["doc_id"] or "") for r in drop_duplicates(docs).collect()) == ["", "d"]
+    assert [r["doc_id"] for r in drop_duplicates(docs.where("doc_id in ('a', 'b')").unionAll(docs.where("doc_id = 'b'"))).collect()] == ["a"]
+    assert sorted(r["doc_id"] for r in keep_one(docs.dropna()).collect()) == ["a", "c", "d"]

@@ -56,8 +56,8 @@ def duplicate_groups(
     to_compare = texts.select("hash", "norm", F.xxhash64("hash").alias("key"))
     to_compare = marked(to_compare, "key", _repeated(rows, words), "repeated", words).where("repeated")
     compared = _compared(to_compare.select("hash", "norm"))
-    best = F.struct(F.col("n_chars"), (-F.col("id").isNull().cast("int")).alias("named"), (-F.col("id")).alias("low"), (-F.col("row")).alias("first"))
-    keepers = rows.groupBy("hash", "sha").agg(F.max(F.struct(best.alias("best"), "id", "row")).alias("keep"), F.count(F.lit(1)).alias("n"))
+    best = F.struct((-F.col("n_chars")).alias("size"), F.col("id").isNull().alias("unnamed"), "id", "row")
+    keepers = rows.groupBy("hash", "sha").agg(F.min(best).alias("keep"), F.count(F.lit(1)).alias("n"))
     keepers = keepers.where("n > 1").join(compared, ["hash", "sha"], "left_semi")
     keepers = stored(keepers.select("hash", "sha", "n", F.col("keep.id").alias("keep_id"), F.col("keep.row").alias("keep_row")), "keepers")
     joined = rows.join(keepers, ["hash", "sha"], "left")
@@ -86,6 +86,6 @@ def drop_duplicates(
     parted = marked(keyed, "key", _repeated(hashes, words), "repeated", words)
     single = parted.where("not repeated").select("doc")
     size, doc_id = F.length(text_of(F.col(f"doc.`{text_col}`"))), F.col(f"doc.`{id_col}`")
-    order = F.struct(size, -doc_id.isNull().cast("int"), -doc_id)
-    groups = parted.where("repeated").groupBy("hash", norm.alias("norm")).agg(F.max_by("doc", order).alias("doc"))
+    order = F.struct(-size, doc_id.isNull(), doc_id)
+    groups = parted.where("repeated").groupBy("hash", norm.alias("norm")).agg(F.min_by("doc", order).alias("doc"))
     return single.union(groups.select("doc")).select("doc.*")

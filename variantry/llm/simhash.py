@@ -139,7 +139,7 @@ def keep_one(
     parted = marked(printed, "print", bitmap(several.select(F.col("print").alias("key")), words), "shared", words)
     found = parted.where("shared").join(several.withColumnRenamed("print", "several_print"), F.col("print") == F.col("several_print"), "left")
     doc_id = F.col(f"doc.`{id_col}`")
-    order = F.struct(-doc_id.isNull().cast("int"), -doc_id)
-    kept = found.where("root is not null").groupBy("root").agg(F.max_by("doc", order).alias("doc"))
+    order = F.struct(doc_id.isNull(), doc_id)
+    kept = found.where("root is not null").groupBy("root").agg(F.min_by("doc", order).alias("doc"))
     alone = parted.where("not shared").select("doc").union(found.where("root is null").select("doc"))
     return alone.union(kept.select("doc")).select("doc.*")
