@@ -129,9 +129,37 @@ def mark_regions(df: DataFrame, regions: DataFrame, flag: str = IN_REGION) -> Da
     return marked.drop("_pos", "_chrom", "_bin", "_spans")
 
 
+#: The most chromosomes whose bounds become a filter of their own; beyond, the bounds of all regions together do.
+MAX_BOUNDS = 256
+
+
+def region_bounds(df: DataFrame, regions: DataFrame) -> Column:
+    """A condition that all rows in a region meet and that reaches the scan: positions between the regions' ends.
+
+    The first start and last end per chromosome are read from the regions, one row each. Over data in order of chromosome
+    and position, files and row groups whose own smallest and largest positions lie apart from them are not read.
+    """
+    valid = regions.where("start <= end")
+    ends = valid.groupBy("chrom").agg(F.min("start").alias("low"), F.max("end").alias("high")).limit(MAX_BOUNDS + 1).collect()
+    if len(ends) > MAX_BOUNDS:
+        ends = valid.agg(F.lit(None).alias("chrom"), F.min("start").alias("low"), F.max("end").alias("high")).collect()
+    if not isinstance(df.schema["POS"].dataType, T.IntegralType):
+        # Only numbers have bounds that a scan can use.
+        wanted = [row["chrom"] for row in ends if row["chrom"] is not None]
+        return chromosome(col("CHROM")).isin(wanted) if wanted else F.lit(bool(ends))
+    # A scan only takes conditions that it understands as a whole, so positions stand alone once more.
+    positions = [col("POS").between(max(row["low"], -LAST_POSITION), min(row["high"], LAST_POSITION)) for row in ends]
+    named = [F.lit(True) if row["chrom"] is None else chromosome(col("CHROM")) == row["chrom"] for row in ends]
+    if not ends:
+        return F.lit(False)
+    both = [here & there for here, there in zip(positions, named, strict=True)]
+    return reduce(operator.or_, positions) & reduce(operator.or_, both)
+
+
 def match_regions(df: DataFrame, regions: DataFrame) -> DataFrame:
     """Keep the rows that lie in a region."""
-    return mark_regions(df, regions).where(IN_REGION).drop(IN_REGION)
+    near = df.where(region_bounds(df, regions))
+    return mark_regions(near, regions).where(IN_REGION).drop(IN_REGION)
 
 
 def _given(wanted: Listing) -> Column:

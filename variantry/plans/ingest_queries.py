@@ -10,8 +10,9 @@ from variantry.functions.predicates import apply_rules
 from variantry.functions.schema import coerce_types, drop_columns, rename_columns
 from variantry.functions.text import col
 from variantry.names import DATASET_INDEX, ROW_ORDER, SITE_KEYS, SOURCE_DATASET
-from variantry.plans.catalogue import AF, IMPACT, MAX_AF, SYMBOL, q, query
-from variantry.plans.driver_tables import table, variants
+from variantry.operators.membership import match_regions
+from variantry.plans.catalogue import AF, IMPACT, MAX_AF, REGION_SQL, SYMBOL, q, query
+from variantry.plans.driver_tables import regions, table, variants
 from variantry.plans.pipeline import ingest
 from variantry.session import scratch_path
 from variantry.sinks import export_tsv, write_dataset
@@ -150,6 +151,18 @@ def unknown_operator(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(found, "name string, message string")
 
 
+# --- regions over a dataset in order of position -----------------------------------------
+
+
+@query(f"select CHROM, POS, \"REF\", \"ALT\", count(*) as n_rows from variants where {REGION_SQL} group by all")
+def region_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions over a stored table that is laid out by chromosome and position: what lies apart from them is not read."""
+    path = scratch_path(spark, "clustered")
+    counts = variants(spark, sf_dir).groupBy(*SITE_KEYS).agg(F.count(F.lit(1)).alias("n_rows"))
+    write_dataset(counts, path, cluster_by=["CHROM", "POS"])
+    return match_regions(read_dataset(spark, path), regions(spark, sf_dir))
+
+
 # --- order of exports ------------------------------------------------------------------
 
 

@@ -191,7 +191,7 @@ def run_cohort(
     else:
         df, names = read_datasets(spark, datasets)
     result = combine(df, names, genes, columns, row_count_only, cutoff)
-    record = write_dataset(result, output)
+    record = write_dataset(result, output, cluster_by=["CHROM", "POS"])
     _amend(
         spark, output,
         {"processing_type": "cross_file_aggregated", "pivot_columns": SITE_KEYS, "total_variants": record["final_shape"][0]},
