@@ -169,7 +169,7 @@ def _given(wanted: Listing) -> Column:
     return F.lit(any(value is not None for value in wanted))
 
 
-def _criteria(
+def criteria(
     df: DataFrame, genes: Listing | None, rsids: Listing | None, regions: DataFrame | None
 ) -> tuple[DataFrame, dict[str, Listing]]:
     """The table with one flag per criterion that is given and whose column exists, and the list behind each flag."""
@@ -195,7 +195,7 @@ def mark_criteria(
 
     A criterion that is not given, or whose column is missing, is left out.
     """
-    marked, flags = _criteria(df, genes, rsids, regions)
+    marked, flags = criteria(df, genes, rsids, regions)
     return marked, list(flags)
 
 
@@ -206,8 +206,12 @@ def match_any(
     regions: DataFrame | None = None,
 ) -> DataFrame:
     """Keep the rows that meet any criterion; if none applies or has entries, keep all."""
-    marked, flags = _criteria(df, genes, rsids, regions)
+    return keep_any(*criteria(df, genes, rsids, regions))
+
+
+def keep_any(marked: DataFrame, flags: dict[str, Listing]) -> DataFrame:
+    """The rows that meet any criterion, of what `criteria` returns."""
     if not flags:
-        return df
+        return marked
     nothing = reduce(operator.and_, [~_given(wanted) for wanted in flags.values()])
     return marked.where(reduce(operator.or_, [F.col(flag) for flag in flags]) | nothing).drop(*flags)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from variantry.config import Rule
@@ -25,6 +25,18 @@ def value_profile(df: DataFrame, name: str, top: int = 10) -> DataFrame:
     return counts.agg(F.count(F.lit(1)).alias("n_rows")).orderBy(F.desc("n_rows"), "value").limit(top)
 
 
+def value_profiles(df: DataFrame, names: list[str], top: int = 10) -> DataFrame:
+    """`value_profile` of several columns in one pass: `(column_name, rank, value, n_rows)`.
+
+    Counts are combined before the shuffle, and only the first `top` of each column leave a task for the last step.
+    """
+    cells = [F.struct(F.lit(name).alias("column_name"), col(name).cast("string").alias("value")) for name in names]
+    counts = df.select(F.inline(F.array(*cells))).dropna().groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n_rows"))
+    order = Window.partitionBy("column_name").orderBy(F.desc("n_rows"), "value")
+    ranked = counts.select("column_name", F.row_number().over(order).alias("rank"), "value", "n_rows")
+    return ranked.where(F.col("rank") <= top)
+
+
 def null_profile(df: DataFrame, names: list[str]) -> DataFrame:
     """How many cells of each column are null or marked as missing."""
     counts = [F.count_if(is_missing(col(name))).alias(str(i)) for i, name in enumerate(names)]
@@ -74,14 +86,46 @@ def kept_report(df: DataFrame, kept: Column) -> DataFrame:
     )
 
 
-def criteria_counts(marked: DataFrame, flags: list[str]) -> DataFrame:
-    """Rows in all, rows meeting each criterion, rows meeting any."""
+def _criteria_measures(flags: list[str]) -> list[Column]:
     any_of = reduce(lambda a, b: a | b, [F.col(flag) for flag in flags])
-    return marked.agg(
+    return [
         F.count(F.lit(1)).alias("n_rows"),
         *[F.count_if(F.col(flag)).alias(f"n{flag}") for flag in flags],
         F.count_if(any_of).alias("n_any"),
-    )
+    ]
+
+
+def _criteria_examples(flags: list[str], shown: list[str]) -> list[Column]:
+    """The first and last rows, as text, that meet each criterion and that do not."""
+    text = F.concat_ws(":", *[col(name).cast("string") for name in shown])
+    tests = [(f"kept{flag}", F.col(flag)) for flag in flags] + [(f"left_out{flag}", ~F.col(flag)) for flag in flags]
+    ends = (("first", F.min), ("last", F.max))
+    return [pick(F.when(test, text)).alias(f"{end}_{name}") for name, test in tests for end, pick in ends]
+
+
+def criteria_counts(marked: DataFrame, flags: list[str]) -> DataFrame:
+    """Rows in all, rows meeting each criterion, rows meeting any."""
+    return marked.agg(*_criteria_measures(flags))
+
+
+class CriteriaReport:
+    """Counts and examples of criteria, gathered while their rows are written.
+
+    `rows` are the marked rows, to be written instead of them. `result` must be called after that, with the row counts that
+    the files show. A stage that runs again for a lost executor may be counted twice; then the counts do not agree with the
+    files, and the rows are counted once more by a query of their own.
+    """
+
+    def __init__(self, marked: DataFrame, flags: list[str], shown: list[str]):
+        self.measures = [*_criteria_measures(flags), *_criteria_examples(flags, shown)]
+        self.marked, self.seen = marked, Observation()
+        self.rows = marked.observe(self.seen, *self.measures)
+
+    def result(self, rows_before: int, rows_after: int) -> dict:
+        seen = self.seen.get
+        if (seen.get("n_rows"), seen.get("n_any")) == (rows_before, rows_after):
+            return seen
+        return self.marked.agg(*self.measures).first().asDict()
 
 
 def stage_summary(original: DataFrame, filtered: DataFrame, collapsed: DataFrame) -> DataFrame:

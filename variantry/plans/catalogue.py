@@ -663,7 +663,7 @@ STORED_COHORT_SQL = f"""select {listed(SITE_KEYS)}, string_agg(distinct family,
 def stored_families(spark: SparkSession, sf_dir: str, named: bool = True) -> list[str]:
     """One dataset per value of REF, which is its family."""
     paths = []
-    for name in ("A", "N", "R"):
+    for name in [row[0] for row in variants(spark, sf_dir).select("REF").distinct().orderBy("REF").collect()]:
         rows = variants(spark, sf_dir).where(F.col("REF") == name)
         family = [F.lit(name).alias("family")] if named else []
         dataset = rows.groupBy("CHROM", "POS", F.lit("x").alias("REF"), "ALT").agg(F.max(col(AF)).alias(AF), *family)

@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from variantry.config import PipelineConfig
-from variantry.functions.predicates import apply_rules
-from variantry.functions.schema import coerce_types, drop_columns, fixed_types, rename_columns, with_provenance
-from variantry.names import COLLAPSE_KEYS, ROW_ORDER, SITE_KEYS, SOURCE_DATASET
-from variantry.operators.cohort import check_cutoff, cohort, union_aligned
+from variantry.functions.predicates import apply_rules, present_rules
+from variantry.functions.schema import coerce_types, drop_columns, fixed_types, rename_columns, resolve, with_provenance
+from variantry.names import COLLAPSE_KEYS, ROW_COUNT, ROW_ORDER, SITE_KEYS, SOURCE_DATASET
+from variantry.operators import report
+from variantry.operators.cohort import check_cutoff, cohort, row_counts, union_aligned
 from variantry.operators.collapse import available_keys, collapse
 from variantry.operators.gather import with_row_order
-from variantry.operators.membership import Listing, match_any, match_genes
+from variantry.operators.membership import Listing, criteria, keep_any, match_genes
 from variantry.operators.validate import (
     group_rows,
     quarantine,
@@ -128,17 +129,18 @@ def run_collapse(
     elif keys:
         # Key columns alone decide this, so it costs little and fails before any output.
         require_unique(group_rows(stages.filtered, stages.group_keys), keys)
-    write_dataset(clean, output)
+    final = write_dataset(clean, output)["final_shape"][0]
     written = spark.read.parquet(output)
     if remove_validation_errors and keys:
         require_unique(written, keys)
-    original = read_sidecar(spark, dataset).get("final_shape", [None])[0]
+    filtering = filter_report(df, config, genes)
     record = {
         "processing_type": "filtered_and_pivoted",
         "original_file": dataset,
-        "original_rows": df.count() if original is None else original,
-        "filtered_rows": stages.filtered.count(),
-        "final_rows": written.count(),
+        "original_rows": filtering["genes"]["n_original"],
+        "filtered_rows": filtering["filtered_rows"],
+        "final_rows": final,
+        "reports": {**filtering, "reduction": _removed(filtering["genes"]["n_original"], final)},
         "filters_applied": [f"{rule.column} {rule.operator}:{rule.value}" for rule in config.rules],
         "columns_kept": clean.columns,
         "value_types": value_types(written, {field.name: field.dataType for field in df.schema}),
@@ -149,6 +151,35 @@ def run_collapse(
     return output
 
 
+def _removed(before: int, after: int) -> dict:
+    """What `report.kept_report` says, from counts that are known."""
+    share = (before - after) * 100.0 / before if before else 0.0
+    return {"n_original": before, "n_kept": after, "n_removed": before - after, "pct_removed": share}
+
+
+def filter_report(df: DataFrame, config: PipelineConfig, genes: Listing | None = None) -> dict:
+    """What genes and rules do to a stored table: rows before and after genes, counts and frequent values per rule.
+
+    All rules are counted in one pass over the columns that they and the genes name; the rows of the table itself are
+    counted from its files. Values are those after the genes and before the rules.
+    """
+    rows, rules = match_genes(df, genes), present_rules(df, config.rules)
+    original = df.count()
+    entries = [row.asDict() for row in report.filter_diagnostics(rows, rules).collect()] if rules else []
+    if entries:
+        left, filtered = entries[0]["n_rows"], entries[-1]["n_remaining"]
+    else:
+        left = filtered = original if rows is df else rows.count()
+    names = list(dict.fromkeys(resolve(df, rule.column) for rule in rules))
+    values = report.value_profiles(rows, names).orderBy("column_name", "rank").collect() if names else []
+    return {
+        "genes": _removed(original, left),
+        "rules": entries,
+        "filtered_rows": filtered,
+        "values": [row.asDict() for row in values],
+    }
+
+
 def _amend(spark: SparkSession, path: str, record: dict) -> None:
     write_sidecar(spark, path, {**read_sidecar(spark, path), **record})
 
@@ -171,6 +202,11 @@ def combine(
     return cohort(rows, columns, row_count_only, cutoff, families, unique=check)
 
 
+def _by_row_count(variants: DataFrame) -> DataFrame:
+    """How many variants combine how many rows: at most one row per number of datasets."""
+    return variants.groupBy(ROW_COUNT).agg(F.count(F.lit(1)).alias("n_variants")).orderBy(ROW_COUNT)
+
+
 def run_cohort(
     spark: SparkSession,
     datasets: list[str],
@@ -191,11 +227,19 @@ def run_cohort(
     else:
         df, names = read_datasets(spark, datasets)
     result = combine(df, names, genes, columns, row_count_only, cutoff)
-    record = write_dataset(result, output, cluster_by=["CHROM", "POS"])
-    _amend(
-        spark, output,
-        {"processing_type": "cross_file_aggregated", "pivot_columns": SITE_KEYS, "total_variants": record["final_shape"][0]},
-    )
+    total = write_dataset(result, output, cluster_by=["CHROM", "POS"])["final_shape"][0]
+    record = {
+        "processing_type": "cross_file_aggregated",
+        "pivot_columns": SITE_KEYS,
+        "total_variants": total,
+        "source_datasets": len(names),
+        "variants_by_row_count": {row[0]: row[1] for row in _by_row_count(spark.read.parquet(output)).collect()},
+    }
+    if cutoff is not None:
+        # Only the key columns are read for what the cutoff left out.
+        counts = row_counts(match_genes(df, genes), SITE_KEYS)
+        record["cutoff"] = {"below": cutoff, **report.cohort_totals(counts, cutoff).first().asDict()}
+    _amend(spark, output, record)
     if tsv:
         export_tsv(read_dataset(spark, output), tsv, sort_by=SITE_KEYS)
     return output
@@ -218,15 +262,18 @@ def run_narrow(
     if genes is None and rsids is None and regions is None:
         warnings.warn("no genes, rsIDs or regions configured, all rows are kept", stacklevel=2)
     df = read_dataset(spark, dataset)
-    kept = drop_columns(match_any(df, genes, rsids, regions), config.narrow_drop_columns)
-    record = write_dataset(kept, output)
+    marked, flags = criteria(df, genes, rsids, regions)
+    seen = report.CriteriaReport(marked, list(flags), [key for key in SITE_KEYS if key in df.columns]) if flags else None
+    kept = drop_columns(keep_any(marked if seen is None else seen.rows, flags), config.narrow_drop_columns)
+    before, after = df.count(), write_dataset(kept, output)["final_shape"][0]
     _amend(
         spark, output,
         {
             "processing_type": "gene_filtered",
             "original_file": dataset,
-            "original_rows": df.count(),
-            "filtered_rows": record["final_shape"][0],
+            "original_rows": before,
+            "filtered_rows": after,
+            "reports": {**_removed(before, after), "criteria": {} if seen is None else seen.result(before, after)},
             "gene_filter_count": 0 if genes is None else genes.count(),
             "rsid_filter_count": 0 if rsids is None else rsids.count(),
             "bed_region_count": 0 if regions is None else regions.count(),
