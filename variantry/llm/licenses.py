@@ -4,7 +4,12 @@ Each line, each paragraph and each whole text is a unit. Text is lower-cased and
 The coefficient of a unit and a template is twice the bigrams they share over all bigrams of both, repeats counted.
 It can only reach the threshold if the unit has between t / (2 - t) and (2 - t) / t times as many bigrams as the template,
 so other templates are not looked at, and most units have no candidate at all. Units of a batch are
-compared at once; words that are in no template are only counted.
+compared at once; words that are in no template are only counted. Thresholds are compared in whole numbers.
+
+A notice may also stand inside a line or run over several. So all windows of words of an admissible size are units as well
+(`span`). Those that start and end with a bigram of the template suffice, as any other would be better without its ends, and
+t / (2 - t) times the template's bigrams must lie within the largest size, which leaves few places to look at. Of windows
+that overlap, the best counts, then the first, then the shorter one.
 
 Templates are a parameter, at most MAX_TEMPLATES of at most MAX_TEMPLATE_WORDS words, and travel with the code.
 Null texts count as empty and match nothing, as does a unit of fewer than two words. Rows may repeat.
@@ -12,8 +17,10 @@ Null texts count as empty and match nothing, as does a unit of fewer than two wo
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator, Mapping
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -65,11 +72,63 @@ class Templates:
         self.counts = [Counter(number[a] * len(number) + number[b] for a, b in zip(ws, ws[1:], strict=False)) for ws in words]
         self.sizes = np.array([sum(c.values()) for c in self.counts])
         self.bigrams = np.array(sorted({b for c in self.counts for b in c}), np.int64)
+        self.slots = [np.searchsorted(self.bigrams, np.array(sorted(c), np.int64)) for c in self.counts]
+        self.own = [np.array([c[b] for b in sorted(c)], np.int64) for c in self.counts]
+
+    def spans(self, codes: np.ndarray, starts: np.ndarray, threshold: float) -> list[tuple[int, int, int, float]]:
+        """(text, first word in it, template, coefficient) of windows that reach the threshold; texts are runs of words."""
+        if len(codes) < 2 or not len(self.bigrams):
+            return []
+        known = np.flatnonzero((codes[:-1] >= 0) & (codes[1:] >= 0))
+        owner = np.searchsorted(starts, known, "right") - 1
+        inside = known + 1 < starts[owner + 1]
+        known, owner = known[inside], owner[inside]
+        key = codes[known] * len(self.vocabulary) + codes[known + 1]
+        slot = np.minimum(np.searchsorted(self.bigrams, key), len(self.bigrams) - 1)
+        same = self.bigrams[slot] == key
+        known, owner, slot = known[same], owner[same], slot[same]
+        share = Fraction(str(threshold))
+        part, whole = share.numerator, share.denominator
+        found = []
+        for t, size in enumerate(self.sizes.tolist()):
+            least, most = -(-part * size // (2 * whole - part)), (2 * whole - part) * size // part
+            here = np.flatnonzero(np.isin(slot, self.slots[t])) if size else np.zeros(0, np.int64)
+            if len(here) < max(least, 1):
+                continue
+            place, text, bigram = known[here], owner[here], np.searchsorted(self.slots[t], slot[here])
+            last = np.arange(least - 1, len(place))
+            dense = (place[last] - place[: len(last)] < most) & (text[last] == text[: len(last)])
+            windows = []
+            for i in np.flatnonzero(dense).tolist():
+                end = min(np.searchsorted(place, place[i] + most), np.searchsorted(text, text[i], "right"))
+                window = bigram[i:end]
+                # A bigram counts as often as the template has it.
+                order = np.argsort(window, kind="stable")
+                heads = np.searchsorted(window[order], window[order])
+                counted = np.zeros(len(window), np.int64)
+                counted[order] = np.arange(len(window)) - heads < self.own[t][window[order]]
+                shared, sizes = np.cumsum(counted), place[i:end] - place[i] + 1
+                reached = 2 * shared * whole >= part * (sizes + size)
+                if reached.any():
+                    dice = np.where(reached, 2 * shared / (sizes + size), 0.0)
+                    best = int(dice.argmax())
+                    windows.append((-float(dice[best]), int(place[i]), int(place[i + best])))
+            taken: list[tuple[int, int]] = []
+            for dice, first, final in sorted(windows):
+                after = bisect_left(taken, (first, first))
+                free = (after == len(taken) or taken[after][0] > final) and (after == 0 or taken[after - 1][1] < first)
+                if free:
+                    insort(taken, (first, final))
+                    of = int(np.searchsorted(starts, first, "right")) - 1
+                    found.append((of, first - int(starts[of]), t, -dice))
+        return found
 
     def matches(self, codes: np.ndarray, starts: np.ndarray, threshold: float) -> list[tuple[int, int, float]]:
         """(unit, template, coefficient) of all that reach the threshold; units are runs of words, -1 is any other word."""
         sizes = np.maximum(np.diff(starts) - 1, 0)
-        fits = [(sizes * (2 - threshold) >= threshold * m) & (sizes * threshold <= (2 - threshold) * m) & (m > 0) for m in self.sizes]
+        share = Fraction(str(threshold))
+        part, whole = share.numerator, share.denominator
+        fits = [(sizes * (2 * whole - part) >= part * m) & (sizes * part <= (2 * whole - part) * m) & (m > 0) for m in self.sizes]
         any_fit = np.logical_or.reduce(fits) if fits else np.zeros(len(sizes), bool)
         chosen = np.flatnonzero(any_fit & (sizes > 0))
         if not len(chosen) or not len(self.bigrams):
@@ -89,9 +148,8 @@ class Templates:
             own = np.array([counts.get(b, 0) for b in bigram[here].tolist()], np.int64)
             shared = np.bincount(of_unit[here], np.minimum(n[here], own), len(sizes))
             for u in np.flatnonzero(shared):
-                dice = 2 * shared[u] / (sizes[u] + self.sizes[t])
-                if dice >= threshold:
-                    found.append((int(u), t, float(dice)))
+                if 2 * int(shared[u]) * whole >= part * int(sizes[u] + self.sizes[t]):
+                    found.append((int(u), t, float(2 * shared[u] / (sizes[u] + self.sizes[t]))))
         return found
 
 
@@ -119,7 +177,8 @@ MATCH = "array<struct<license:string,dice:double,unit:string,number:int>>"
 
 
 def found(text: Column, templates: Mapping[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> Column:
-    """All matches of each text: licence, coefficient, kind of unit, and its number among the text's units from 0."""
+    """All matches of each text: licence, coefficient, kind of unit, and its number among the text's units from 0 (of a span,
+    the number of its first word)."""
     table = Templates(templates)
     kind = pa.list_(pa.struct([("license", pa.string()), ("dice", pa.float64()), ("unit", pa.string()), ("number", pa.int32())]))
 
@@ -134,6 +193,8 @@ def found(text: Column, templates: Mapping[str, str] = TEMPLATES, threshold: flo
                     for unit, t, dice in table.matches(codes, starts, threshold):
                         number = unit - int(np.searchsorted(owner, owner[unit]))
                         rows[owner[unit]].append({"license": table.names[t], "dice": dice, "unit": name, "number": number})
+                for text_number, word, t, dice in table.spans(codes, units["text"][0], threshold):
+                    rows[text_number].append({"license": table.names[t], "dice": dice, "unit": "span", "number": word})
                 out += rows
             yield pa.array(out, kind)
 

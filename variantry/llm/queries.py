@@ -73,9 +73,9 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every text's best licence and how many of its lines name one."""
+    """Every text's best licence, how many of its lines name one, and all matches."""
     lines = F.filter("matches", lambda match: match["unit"] == "line")
-    return licenses.scan(documents(spark, sf_dir)).select("doc_id", "license", "dice", F.size(lines).alias("license_lines"))
+    return licenses.scan(documents(spark, sf_dir)).select("doc_id", "license", "dice", F.size(lines).alias("license_lines"), "matches")
 
 
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
