@@ -117,3 +117,26 @@ def test_quality_against_all_pairs(spark, awkward_texts):
     long = quality.judge(as_documents(spark, [(1, awkward_texts[6])])).first()
     assert long["n_words"] == len(re.findall(r"[^\x20\x09-\x0D]+", awkward_texts[6])) and long["base_failed"]
     assert quality.judge(spark.createDataFrame([], "doc_id long, text string, m int")).collect() == []
+
+
+def test_limits_on_repeats_decide(spark):
+    """Texts that pass the base rules: a long passage given twice, many short ones, and what plain texts repeat."""
+    fresh = iter(f"n{i}" for i in range(100_000))
+
+    def some(n):
+        return [next(fresh) for _ in range(n)]
+
+    passage, line = some(60), some(13)
+    short = [some(6) for _ in range(12)]
+    texts = {
+        "pasted": some(300) + passage + some(200) + passage,
+        "at the limit": some(300) + passage[:50] + some(200) + passage[:50],
+        "many short": [w for part in short for w in part + some(9)] + [w for part in short for w in some(9) + part],
+        "a line twice": some(80) + line + some(80) + line,
+        "plain": some(120),
+    }
+    rows = [(i, " ".join(words)) for i, words in enumerate(texts.values())]
+    found = {r["doc_id"]: r for r in quality.judge(as_documents(spark, rows)).collect()}
+    assert not any(r["base_failed"] for r in found.values())
+    assert [found[i]["kept"] for i in range(5)] == [False, True, False, True, True]
+    assert [found[i]["longest_repeat"] for i in range(5)] == [60, 50, 6, 13, 0]

