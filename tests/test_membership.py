@@ -119,3 +119,25 @@ def test_criteria_left_out(spark):
 def test_no_row_meets_every_region(spark, plan_of):
     plan = plan_of(match_regions(combined_table(spark), regions_of(spark, SET)))
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize("kept", [("CHROM", "POS", "ID"), ("ID",)])
+def test_cells_that_most_rows_share(spark, kept):
+    """None is lost or doubled, with or without columns that name a site; rows that cannot match are spread."""
+    cell = "case when id % 3 = 0 then 'rs1, rs2' when id % 3 = 1 then '.' else concat('rs', id) end as ID"
+    df = spark.range(3000).selectExpr("'1' as CHROM", "id as POS", cell).select(*kept)
+    listed = spark.createDataFrame([("rs2",), ("rs2",), ("rs5",), (None,)], "id string")
+    found = membership.match_rsids(df, listed)
+    assert found.columns == list(kept) and found.count() == 1002
+    assert {r["ID"]: r["count"] for r in found.groupBy("ID").count().collect()} == {"rs1, rs2": 1000, "rs2": 1, "rs5": 1}
+    marked = membership.mark_listed(df, "ID", listed, "_hit")
+    assert {r["_hit"]: r["count"] for r in marked.groupBy("_hit").count().collect()} == {True: 1002, False: 1998}
+    if "POS" in kept:
+        places = df.where("ID = '.'").select(F.pmod(membership._apart(df, "ID"), F.lit(membership.SPREAD)).alias("place"))
+        assert places.distinct().count() > 800
+
+
+def test_rows_that_cannot_match_are_not_joined(spark, plan_of):
+    df = spark.range(10).selectExpr("id as POS", "concat('rs', id) as ID")
+    plan = plan_of(membership.match_rsids(df, spark.createDataFrame([("rs2",)], "id string")))
+    assert "LeftSemi" in plan and "LeftOuter" not in plan and "Cartesian" not in plan

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from variantry.functions.text import as_number, as_whole_number, col, tokens
-from variantry.names import SYMBOL
+from variantry.names import ROW_ORDER, SITE_KEYS, SYMBOL
 
 IN_REGION = "_in_region"
 IN_GENES = "_in_genes"
@@ -31,6 +31,9 @@ LAST_POSITION = (1 << 31) - 1
 # Rows whose cell cannot match are spread over this many keys of the join.
 SPREAD = 4096
 
+# Columns that tell rows of one cell apart.
+TELLING = (*SITE_KEYS, "SAMPLE", ROW_ORDER)
+
 Listing = DataFrame | Iterable[str]
 
 
@@ -40,24 +43,46 @@ def mark_listed(df: DataFrame, name: str, wanted: Listing, flag: str) -> DataFra
     A list that the caller holds becomes part of the filter. A table is matched against the
     distinct cells, of which there are far fewer than rows, and the cells found are joined
     back. No row is ever duplicated, and hot cells shrink to one before the first shuffle.
-    Cells that cannot match (null, empty or a dot) get a second key that spreads them.
+    Cells that cannot match (null, empty or a dot) get a second key that spreads them; it
+    comes from the columns that name a row's site.
     """
     cell = col(name).cast("string")
     if not isinstance(wanted, DataFrame):
         known = list(dict.fromkeys(value for value in wanted if value is not None))
         hit = F.exists(tokens(cell), lambda token: token.isin(*known)) if known else F.lit(False)
         return df.withColumn(flag, F.coalesce(hit, F.lit(False)))
-    listed = wanted.select(F.col(wanted.columns[0]).cast("string").alias("_wanted")).dropna()
-    possible = F.coalesce(~cell.isin("", "."), F.lit(False))
-    cells = df.select(cell.alias("_cell")).where(possible).distinct()
-    entries = cells.select("_cell", F.explode(tokens(F.col("_cell"))).alias("_wanted"))
-    found = entries.join(listed, "_wanted", "left_semi").select("_cell").distinct().withColumns({"_part": F.lit(0), flag: F.lit(True)})
-    spread = 1 + F.pmod(F.xxhash64(*[col(other) for other in df.columns]), F.lit(SPREAD)).cast("int")
-    keyed = df.withColumns({"_key": F.when(possible, cell).otherwise(""), "_place": F.when(possible, 0).otherwise(spread)})
+    found = _found_cells(df, name, wanted).withColumns({"_part": F.lit(0), flag: F.lit(True)})
+    place = F.when(_possible(cell), 0).otherwise(1 + F.pmod(_apart(df, name), F.lit(SPREAD)))
+    keyed = df.withColumns({"_key": F.when(_possible(cell), cell).otherwise(""), "_place": place.cast("int")})
     marked = keyed.join(found, (F.col("_key") == F.col("_cell")) & (F.col("_place") == F.col("_part")), "left")
     return marked.drop("_cell", "_part", "_key", "_place").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
+def _possible(cell: Column) -> Column:
+    return F.coalesce(~cell.isin("", "."), F.lit(False))
+
+
+def _apart(df: DataFrame, name: str) -> Column:
+    """A hash that differs between most rows."""
+    telling = [other for other in TELLING if other in df.columns and other != name]
+    return F.xxhash64(*[col(other) for other in telling or df.columns])
+
+
+def _found_cells(df: DataFrame, name: str, wanted: DataFrame) -> DataFrame:
+    """The distinct cells with an entry in the list."""
+    listed = wanted.select(F.col(wanted.columns[0]).cast("string").alias("_wanted")).dropna()
+    cells = df.select(col(name).cast("string").alias("_cell")).where(_possible(F.col("_cell"))).distinct()
+    entries = cells.select("_cell", F.explode(tokens(F.col("_cell"))).alias("_wanted"))
+    return entries.join(listed, "_wanted", "left_semi").select("_cell").distinct()
+
+
+def _keep_listed(df: DataFrame, name: str, wanted: DataFrame) -> DataFrame:
+    """The rows with an entry in the list; rows whose cell cannot match are left out before the join."""
+    cell = col(name).cast("string")
+    keyed = df.where(_possible(cell)).withColumn("_key", cell)
+    return keyed.join(_found_cells(df, name, wanted), F.col("_key") == F.col("_cell"), "left_semi").drop("_key")
+
+
 def match_genes(df: DataFrame, genes: Listing | None, column: str = SYMBOL) -> DataFrame:
     """Keep the rows naming a listed gene; without a list or the column, keep all."""
     if genes is None:
@@ -65,6 +90,8 @@ def match_genes(df: DataFrame, genes: Listing | None, column: str = SYMBOL) -> D
     if column not in df.columns:
         warnings.warn(f"column {column!r} not found, genes are not filtered", stacklevel=2)
         return df
+    if isinstance(genes, DataFrame):
+        return _keep_listed(df, column, genes)
     return mark_listed(df, column, genes, IN_GENES).where(IN_GENES).drop(IN_GENES)
 
 
