@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,18 +16,31 @@ from variantry.operators.gather import GROUP_ROWS, gather_distinct, with_row_ord
 
 INTERNAL = (DATASET_INDEX, ROW_ORDER)
 FAMILY = "_family"
+#: Variants with at least this share of all rows are known to be fewer than its inverse.
+HOT_SHARE = 1 / (1 << 16)
 
 
 def row_counts(df: DataFrame, keys: list[str] = SITE_KEYS) -> DataFrame:
     """The keys and how many rows each has."""
-    named = df.select(*[col(key) for key in keys]).dropna()
+    # Spelled as the tests that joins add by themselves, so that one count serves several joins.
+    given = [col(key).isNotNull() for key in keys]
+    given += [~F.isnan(col(key)) for key in keys if isinstance(df.schema[key].dataType, T.FractionalType) and not isinstance(df.schema[key].dataType, T.DecimalType)]
+    named = df.select(*[col(key) for key in keys]).where(reduce(and_, given))
     return named.groupBy(*[col(key) for key in keys]).agg(F.count(F.lit(1)).alias(ROW_COUNT))
 
 
 def below_cutoff(df: DataFrame, cutoff: int, keys: list[str] = SITE_KEYS) -> DataFrame:
-    """The rows of variants with fewer than `cutoff` rows; counting reads the keys only."""
-    rare = row_counts(df, keys).where(F.col(ROW_COUNT) < cutoff).drop(ROW_COUNT)
-    return df.join(rare, keys, "left_semi").select(*[col(name) for name in df.columns])
+    """The rows of variants with fewer than `cutoff` rows; counting reads the keys only.
+
+    Variants that hold HOT_SHARE of all rows are left out by a broadcast of at most 65,536 keys, before any of their rows
+    moves. The rows of the others meet the keys that stay in a shuffle, which no variant can fill.
+    """
+    counts = row_counts(df, keys)
+    share = counts.agg(F.sum(ROW_COUNT) * F.lit(HOT_SHARE)).scalar()
+    hot = counts.where((F.col(ROW_COUNT) >= cutoff) & (F.col(ROW_COUNT) >= share)).drop(ROW_COUNT)
+    rare = counts.where(F.col(ROW_COUNT) < cutoff).drop(ROW_COUNT)
+    left = df.join(F.broadcast(hot), keys, "left_anti").join(rare, keys, "left_semi")
+    return left.select(*[col(name) for name in df.columns])
 
 
 def check_cutoff(cutoff: int | None, n_datasets: int) -> None:
@@ -92,7 +108,6 @@ def _first_of(family: str) -> Column:
 
 def _gather_in_families(
     rows: DataFrame, keys: list[str], listed: list[str], firsts: list[str], families: list[str] | None, rank: list[str],
-    cutoff: int | None,
 ) -> DataFrame:
     """Sorted lists, first values and frequencies of each variant from one pass over the rows.
 
@@ -117,7 +132,6 @@ def _gather_in_families(
         pair = F.struct(F.col(FAMILY).alias("family"), F.col(f"{frequency}.value").alias("value"))
         merged.append(F.collect_list(F.when(given, pair)).alias(PAIRS))
     groups = first.groupBy(*[col(key) for key in keys]).agg(*merged, F.sum(GROUP_ROWS).alias(GROUP_ROWS))
-    groups = groups if cutoff is None else groups.where(F.col(GROUP_ROWS) < cutoff)
     return groups.select(
         *[col(key) for key in keys], *[F.col(slot).alias(name) for slot, name in slots.items()],
         *[F.col(f"{slot}.value").alias(name) for slot, name in heads.items() if name in firsts],
@@ -153,6 +167,8 @@ def cohort(
     if order == "first":
         df = with_row_order(df)
     rows = df.dropna(subset=[f"`{key}`" for key in keys])
+    # Counts come first, so that only rows of variants that stay are gathered.
+    rows = rows if cutoff is None else below_cutoff(rows, cutoff, keys)
     has_frequency = SAMPLE_AF in df.columns and bool(families)
     if columns == "default":
         chosen = default_columns(df)
@@ -167,14 +183,14 @@ def cohort(
         rows, rank = with_row_order(rows), [ROW_ORDER]
     pairs = families if has_frequency else None
     if order == "sorted":
-        result = _gather_in_families(rows, keys, listed, firsts, pairs, rank, cutoff)
+        result = _gather_in_families(rows, keys, listed, firsts, pairs, rank)
     else:
         # First values and frequencies are gathered like the lists, in the same steps.
         kept = {name: quoted(name) for name in firsts}
         if has_frequency:
             given = f"family is not null and {quoted(SAMPLE_AF)} is not null"
             kept[PAIRS] = f"if({given}, struct(cast(family as string) as family, {quoted(SAMPLE_AF)} as value), null)"
-        result = gather_distinct(rows, keys, listed, order=order, unique=unique, fewer_than=cutoff, values=kept)
+        result = gather_distinct(rows, keys, listed, order=order, unique=unique, values=kept)
         result = result.withColumns({name: F.get(col(name), F.lit(0)) for name in firsts}) if firsts else result
         if has_frequency:
             result = result.withColumns({f"AF_{name}": _first_of(name) for name in families}).drop(PAIRS)

@@ -60,7 +60,6 @@ def gather_distinct(
     columns: list[str],
     order: str = "first",
     unique: bool = False,
-    fewer_than: int | None = None,
     values: dict[str, str] | None = None,
 ) -> DataFrame:
     """One row per key: for each column the array of its distinct texts, and the row count.
@@ -68,14 +67,12 @@ def gather_distinct(
     `order="first"` keeps values in order of first appearance, by dataset and then by
     row; `order="sorted"` sorts them, which lets Spark drop repeated values before the
     only shuffle. `unique=True` states that no dataset has a key twice, as after a
-    uniqueness check; ranges of datasets are then combined first. `fewer_than` leaves out
-    groups with that many rows or more; their values are let go in the step in which
-    the rows of a block or range suffice to tell. `values` adds columns of distinct
-    non-null values of SQL expressions as they are, in order of first appearance.
+    uniqueness check; ranges of datasets are then combined first. `values` adds columns of
+    distinct non-null values of SQL expressions as they are, in order of first appearance.
     """
     kinds = {name: df.schema[name].dataType for name in columns}
     if order == "sorted":
-        return _fewer(_gather_sorted(df, keys, kinds), fewer_than)
+        return _gather_sorted(df, keys, kinds)
     if order != "first":
         raise ValueError(f"unknown order {order!r}")
     by_dataset = DATASET_INDEX in df.columns
@@ -93,17 +90,13 @@ def gather_distinct(
     steps = _dataset_steps(unique) if by_dataset else _row_steps()
     slots |= {f"v{i}": name for i, name in enumerate(values or {})}
     for depth, step in enumerate(steps):
-        state = _combine(state, keys, list(slots), rank, step, depth > 0, fewer_than)
+        state = _combine(state, keys, list(slots), rank, step, depth > 0)
         rank = list(step)
-    return _fewer(state, fewer_than).select(
+    return state.select(
         *[col(key) for key in keys], *[F.col(slot).alias(name) for slot, name in slots.items()], F.col(GROUP_ROWS)
     )
 
 
-def _fewer(groups: DataFrame, fewer_than: int | None) -> DataFrame:
-    return groups if fewer_than is None else groups.where(F.col(GROUP_ROWS) < fewer_than)
-
-
 def _combine(
     state: DataFrame,
     keys: list[str],
@@ -111,7 +104,6 @@ def _combine(
     rank: list[str],
     step: dict[str, Column],
     nested: bool,
-    fewer_than: int | None,
 ) -> DataFrame:
     """Merge the rows of each (key, step) in rank order, keeping first appearances."""
     grouped = state.withColumns({f"{name}_next": value for name, value in step.items()}) if step else state
@@ -122,8 +114,6 @@ def _combine(
 
     def merged(slot: str) -> Column:
         values = f"{_ROWS}.{slot}"
-        if fewer_than is not None:
-            values = f"if({GROUP_ROWS} < {fewer_than}, {values}, null)"
         if not nested:
             return F.expr(f"array_distinct(array_compact({values}))")
         # Most groups lie in one block and have nothing to merge.
