@@ -142,3 +142,37 @@ def test_hashes_of_words_depend_on_every_byte():
     assert (lm._word_hashes(tail) == hashes[5:]).all()
     assert abs(np.unpackbits(hashes.view(np.uint8)).mean() - 0.5) < 0.01
     assert len(lm._word_hashes(pa.array([], pa.string()))) == 0
+
+
+@pytest.mark.parametrize("most", [1 << 30, 0])
+def test_the_mass_is_chosen_on_all_training_texts(spark, monkeypatch, most):
+    """One long text of a fixed phrase and many short ones of words in any order: most parts of the texts would choose otherwise."""
+    monkeypatch.setattr(lm, "SLICE_BYTES", 1 << 14)
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(2))) for i in range(9000)]
+    rows.append((9001, " ".join(words[j % 60] for j in range(60_000))))
+    docs = as_documents(spark, rows)
+    held = id_remainder(docs.doc_id, 10) == 0
+    model, rare = lm.fit(docs.where(~held), shards=8, broadcast_bytes=most)
+    taught = [plain_words(t) for i, t in rows if zlib.crc32(str(i).encode()) % 10 != 0]
+    pairs = [(a, b) for ws in taught for a, b in zip([None, *ws], ws, strict=False)]
+    both, first = Counter(pairs), Counter(a for a, _ in pairs)
+    after = Counter(b for _, b in pairs)
+    chance = {b: (n + 0.1) / (len(pairs) + 0.1 * (len(after) + 1)) for b, n in after.items()}
+    likelihood = {m: sum(n * math.log10((n - 1 + m * chance[b]) / (first[a] - 1 + m)) for (a, b), n in both.items()) for m in lm.MASSES}
+    assert model.mass == max(likelihood, key=likelihood.get)
+    open_model, same_rare = lm.fit(docs.where(~held), shards=8, broadcast_bytes=most, mass=False)
+    assert open_model.mass is None
+    one = sorted(map(tuple, lm.score(docs, model, rare).collect()))
+    two = sorted(map(tuple, lm.score(docs, open_model, same_rare, training=~held).collect()))
+    assert len(one) == len(rows)
+    for a, b in zip(one, two, strict=True):
+        assert a == pytest.approx(b)
+
+
+def test_a_model_without_a_mass_needs_its_training_texts(spark):
+    docs = as_documents(spark, [(1, "a b"), (2, "b a")])
+    model, rare = lm.fit(docs, shards=4, mass=False)
+    with pytest.raises(ValueError):
+        lm.score(docs, model, rare)

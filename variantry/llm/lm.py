@@ -13,9 +13,10 @@ instead. Up to BROADCAST_BYTES the slices are broadcast as one filter. Beyond th
 sends what it asks to the shards, the slices are probed there, and the levels are brought back to the texts. Both ways ask the same bits.
 
 The probability of a word after another is the pair's count and a mass times the word's own smoothed probability, over
-the first word's count and the mass. The mass is the one of MASSES under which about MASS_TEXTS of the training texts, taken by
-their hashes, are likeliest when each pair's own occurrence is taken off its counts. A text starts after an end and ends
-with an end, which is a word of its own.
+the first word's count and the mass. The mass is the one of MASSES under which all training texts together are likeliest when
+each pair's own occurrence is taken off its counts. `fit` chooses it in a pass of its own; with `mass=False` it leaves the choice
+to `score`, which is told which of its texts are training texts and adds their likelihoods up in the pass that scores them all.
+A text starts after an end and ends with an end, which is a word of its own.
 
 The base score takes exact counts. The HOT most frequent words (of at most HOT_BYTES bytes) and their counts are
 broadcast; the rest are joined on the word, where no word is frequent any more.
@@ -36,7 +37,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast, TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -53,7 +54,6 @@ PROBES = 3
 #: Bases of the levels of words and of pairs.
 BASES = (1.2, 1.5)
 MASSES = (1.0, 2.0, 5.0, 10.0, 20.0, 50.0, 100.0, 200.0, 500.0, 1000.0, 2000.0)
-MASS_TEXTS = 2_000
 HOT = 1 << 19
 HOT_BYTES = 64
 SMOOTHING = 0.1
@@ -83,7 +83,8 @@ class LanguageModel:
     hot_counts: np.ndarray
     #: The largest count of a word, which no count exceeds.
     most: int = 0
-    mass: float = MASSES[-1]
+    #: None if `score` is to choose it.
+    mass: float | None = MASSES[-1]
     shards: int = SHARDS
     #: The model as tasks have it, but for its mass: it is sent to the executors once.
     shared: Broadcast | None = None
@@ -105,18 +106,19 @@ class LanguageModel:
     def ask(self, hashes: np.ndarray, order: int) -> np.ndarray:
         return read_levels(self.bits, hashes, order, self.shards, self.most)
 
-    def pair_counts(self, tokens: Tokens, hashes: np.ndarray, ask: Ask) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For each token the counts of its pair and of the word before, and its own smoothed probability."""
+    def pair_counts(self, tokens: Tokens, hashes: np.ndarray, ask: Ask) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For each distinct pair its count, that of the word before, and the smoothed probability of the word; and each token's pair."""
         estimate = counts_of(ask(hashes, 1), BASES[0])
         before, after = tokens.pairs()
-        known = np.flatnonzero((estimate[before] > 0) & (estimate[after] > 0))
         # Pairs repeat within a slice, and each answer takes several probes.
-        unique, place = np.unique(before[known] * len(hashes) + after[known], return_inverse=True)
-        one, two = unique // max(len(hashes), 1), unique % max(len(hashes), 1)
+        unique, place = np.unique(before * len(hashes) + after, return_inverse=True)
+        before, after = unique // max(len(hashes), 1), unique % max(len(hashes), 1)
+        known = np.flatnonzero((estimate[before] > 0) & (estimate[after] > 0))
+        one, two = before[known], after[known]
         found = counts_of(ask(_pair_hashes(hashes[one], hashes[two]), 2), BASES[1])
-        both = np.zeros(len(after))
-        both[known] = np.minimum(found, np.minimum(estimate[one], estimate[two]))[place]
-        return both, np.maximum(estimate[before], both), ((estimate + SMOOTHING) / self.total)[after]
+        both = np.zeros(len(unique))
+        both[known] = np.minimum(found, np.minimum(estimate[one], estimate[two]))
+        return both, estimate[before], ((estimate + SMOOTHING) / self.total)[after], place
 
 
 def _mixed(value: np.ndarray) -> np.ndarray:
@@ -329,9 +331,12 @@ def _hot_level(counts: DataFrame, hot: int) -> int:
 
 def fit(
     docs: DataFrame, text_col: str = "text", filter_bits: int | None = None, shards: int = SHARDS, hot: int = HOT,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    broadcast_bytes: int = BROADCAST_BYTES, mass: bool = True,
 ) -> tuple[LanguageModel, DataFrame]:
-    """The model of the texts of `docs`, and the table (token, c) of the words it does not hold."""
+    """The model of the texts of `docs`, and the table (token, c) of the words it does not hold.
+
+    Without `mass` the model has none, and `score` chooses it.
+    """
     bound_batches()
     texts = docs.select(F.col(text_col).alias("text"))
     counts = stored(word_counts(texts), "words")
@@ -342,7 +347,6 @@ def fit(
     held = levelled.where(frequent).select("token", "c").toArrow()
     size = counts.agg(
         F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v"), F.coalesce(F.max("c"), F.lit(0)).alias("most"),
-        F.coalesce(F.max(F.when(F.col("token") == END, F.col("c"))), F.lit(0)).alias("texts"),
     ).first()
     made = stored(_filter_slices(texts, counts, filter_bits, shards), "filter")
     largest = made.agg(F.coalesce(F.max(F.octet_length("bits")), F.lit(8)).alias("largest")).first()["largest"]
@@ -355,8 +359,8 @@ def fit(
     words, exact = words.take(pa.array(by_hash)), held["c"].to_numpy()[by_hash]
     model = LanguageModel(bits, size["n"], size["v"], words, hashes[by_hash], exact, size["most"], shards=shards)
     model = replace(model, shared=docs.sparkSession.sparkContext.broadcast(model), slices=made if bits is None else None)
-    mass = _likeliest_mass(texts, model, max(1, size["texts"] // MASS_TEXTS))
-    return replace(model, mass=mass), levelled.where(~frequent).select("token", "c")
+    model = replace(model, mass=_likeliest_mass(texts, model) if mass else None)
+    return model, levelled.where(~frequent).select("token", "c")
 
 
 def _one_filter(made: DataFrame, shards: int, size: int) -> np.ndarray:
@@ -493,42 +497,86 @@ def _with_answers(texts: DataFrame, model: LanguageModel, body: Body, kind: str)
     return rows.mapInArrow(compute, kind)
 
 
-def _likeliest_mass(texts: DataFrame, model: LanguageModel, share: int) -> float:
-    """The mass that suits one of `share` training texts best; each pair is scored without its own occurrence."""
+def _log_chances(both: np.ndarray, first: np.ndarray, chance: np.ndarray) -> Iterator[np.ndarray]:
+    """The logarithms of the probabilities of pairs under each of MASSES."""
+    for mass in MASSES:
+        yield np.log10((both + mass * chance) / (first + mass))
+
+
+def _likelihoods(both: np.ndarray, first: np.ndarray, chance: np.ndarray, times: np.ndarray) -> list[float]:
+    """The likelihood under each of MASSES of pairs that occur so many `times`, each without its own occurrence."""
+    given = np.flatnonzero(times)
+    both, first, times = np.maximum(both[given] - 1, 0), np.maximum(first[given] - 1, 0), times[given]
+    return [float(logs @ times) for logs in _log_chances(both, np.maximum(first, both), chance[given])]
+
+
+def _best_mass(likelihoods: DataFrame) -> float:
+    """The mass with the largest sum of its column (m0, m1, ...), the smaller one of two; the largest mass without rows."""
+    sums_of = likelihoods.agg(*[F.sum(name).alias(name) for name in MASS_COLUMNS]).first()
+    if sums_of[0] is None:
+        return MASSES[-1]
+    return MASSES[max(range(len(MASSES)), key=lambda i: (sums_of[i], -i))]
+
+
+MASS_COLUMNS = [f"m{i}" for i in range(len(MASSES))]
+MASS_KINDS = ", ".join(f"{name} double" for name in MASS_COLUMNS)
+
+
+def _likeliest_mass(texts: DataFrame, model: LanguageModel) -> float:
+    """The mass that suits all training texts best."""
 
     def body(lm: LanguageModel, ask: Ask, row: int, ids: pa.Array, tokens: Tokens, hashes: np.ndarray) -> Iterator[pa.RecordBatch]:
-        both, first, chance = lm.pair_counts(tokens, hashes, ask)
-        both, first = np.maximum(both - 1, 0), np.maximum(first - 1, 0)
-        total = [np.log10((both + mass * chance) / (np.maximum(first, both) + mass)).sum() for mass in MASSES]
-        yield pa.record_batch({"mass": pa.array(MASSES), "likelihood": pa.array(total)})
-
-    some = texts.where(F.pmod(F.xxhash64("text"), F.lit(share)) == 0).select(F.lit(0).alias("id"), "text")
-    likelihoods = _by_slice(some, model, body, "mass double, likelihood double")
-    best = likelihoods.groupBy("mass").agg(F.sum("likelihood").alias("likelihood")).orderBy(F.desc("likelihood"), "mass").first()
-    return best["mass"] if best is not None else MASSES[-1]
-
-
-def score(docs: DataFrame, model: LanguageModel, rare: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of `docs`: its id, n_tokens, n_known, train_tokens, base_score and score."""
-    mass = model.mass
-    named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    id_type = named.schema["id"].dataType
+        both, first, chance, place = lm.pair_counts(tokens, hashes, ask)
+        totals = _likelihoods(both, first, chance, np.bincount(place, minlength=len(both)))
+        yield pa.record_batch({name: pa.array([total]) for name, total in zip(MASS_COLUMNS, totals, strict=True)})
+
+    return _best_mass(_by_slice(texts.select(F.lit(0).alias("id"), "text"), model, body, MASS_KINDS))
+
+
+def score(
+    docs: DataFrame, model: LanguageModel, rare: DataFrame, id_col: str = "doc_id", text_col: str = "text", training: Column | None = None,
+) -> DataFrame:
+    """One row per row of `docs`: its id, n_tokens, n_known, train_tokens, base_score and score.
+
+    If the model has no mass, `training` tells the rows of its training texts: every text is scored under each of MASSES,
+    and the scores of the one that suits the training texts best are returned.
+    """
+    if (model.mass is None) != (training is not None):
+        raise ValueError("a model without a mass needs to know its training texts, one with a mass does not")
+    masses = MASSES if model.mass is None else (model.mass,)
+    shown = [f"m{i}" for i in range(len(masses))]
+    key = F.struct(F.col(id_col).alias("id"), (F.lit(False) if training is None else F.coalesce(training, F.lit(False))).alias("training"))
+    named = docs.select(key.alias("id"), F.col(text_col).alias("text"))
+    id_type = docs.schema[id_col].dataType
     id_arrow = to_arrow_type(id_type)
 
     def body(lm: LanguageModel, ask: Ask, row: int, ids: pa.Array, tokens: Tokens, hashes: np.ndarray) -> Iterator[pa.RecordBatch]:
         texts = len(ids)
-        both, first, chance = lm.pair_counts(tokens, hashes, ask)
-        logs = np.log10((both + mass * chance) / (first + mass))
+        both, first, chance, place = lm.pair_counts(tokens, hashes, ask)
+        taught = pc.struct_field(ids, "training").to_numpy(zero_copy_only=False)
+        if taught.any():
+            # The likelihoods of a slice are a row of their own, with a number below zero.
+            times = np.bincount(place, weights=taught[tokens.owner], minlength=len(both))
+            totals = _likelihoods(both, first, chance, times)
+            yield pa.record_batch(
+                {
+                    "row": pa.array([-row - 1]), "id": pa.nulls(1, id_arrow), "token": pa.array([f"{END}{-row - 1}"], pa.string()),
+                    "n": pa.array([0], pa.int64()), "n_tokens": pa.array([0], pa.int64()), "n_known": pa.array([0], pa.int64()),
+                    "base": pa.array([0.0]), **{name: pa.array([total]) for name, total in zip(shown, totals, strict=True)},
+                }
+            )
+        chances = [np.log10((both + mass * chance) / (first + mass)) for mass in masses]
         exact = lm.exact_counts(tokens.words, hashes)
         is_hot = exact > 0
         base = np.where(is_hot, np.log10((exact + SMOOTHING) / lm.total), 0.0)
         numbers = row + np.arange(texts)
         yield pa.record_batch(
             {
-                "row": pa.array(numbers), "id": ids.cast(id_arrow),
+                "row": pa.array(numbers), "id": pc.struct_field(ids, "id").cast(id_arrow),
                 "token": pa.array([f"{END}{i}" for i in numbers.tolist()], pa.string()), "n": pa.array(np.zeros(texts, np.int64)),
                 "n_tokens": pa.array(np.diff(tokens.starts)), "n_known": pa.array(sums(is_hot[tokens.codes].astype(np.int64), tokens.owner, texts).astype(np.int64)),
-                "base": pa.array(sums(base[tokens.codes], tokens.owner, texts)), "score": pa.array(sums(logs, tokens.owner, texts)),
+                "base": pa.array(sums(base[tokens.codes], tokens.owner, texts)),
+                **{name: pa.array(sums(logs[place], tokens.owner, texts)) for name, logs in zip(shown, chances, strict=True)},
             }
         )
         cold = np.flatnonzero(~is_hot[tokens.codes])
@@ -538,16 +586,23 @@ def score(docs: DataFrame, model: LanguageModel, rare: DataFrame, id_col: str =
                 "row": pa.array(numbers[keys // len(hashes)]), "id": pa.nulls(len(keys), id_arrow),
                 "token": tokens.words.take(pa.array(keys % len(hashes))).cast(pa.string()), "n": pa.array(n, pa.int64()),
                 "n_tokens": pa.nulls(len(keys), pa.int64()), "n_known": pa.nulls(len(keys), pa.int64()),
-                "base": pa.nulls(len(keys), pa.float64()), "score": pa.nulls(len(keys), pa.float64()),
+                "base": pa.nulls(len(keys), pa.float64()), **{name: pa.nulls(len(keys), pa.float64()) for name in shown},
             }
         )
 
-    kind = f"row long, id {id_type.simpleString()}, token string, n long, n_tokens long, n_known long, base double, score double"
-    parts = _by_slice(named, model, body, kind).join(rare, "token", "left")
+    kind = f"row long, id {id_type.simpleString()}, token string, n long, n_tokens long, n_known long, base double, "
+    parts = _by_slice(named, model, body, kind + ", ".join(f"{name} double" for name in shown)).join(rare, "token", "left")
     count = F.coalesce("c", F.lit(0))
     logs = F.col("n") * F.log10((count + F.lit(SMOOTHING)) / F.lit(model.total))
-    return parts.groupBy("row").agg(
+    scored = parts.groupBy("row").agg(
         F.max("id").alias(id_col), F.max("n_tokens").alias("n_tokens"),
         (F.max("n_known") + F.sum(F.when(count > 0, F.col("n")).otherwise(0))).alias("n_known"),
-        F.lit(model.n).cast("long").alias("train_tokens"), (F.max("base") + F.sum(logs)).alias("base_score"), F.max("score").alias("score"),
-    ).drop("row")
+        F.lit(model.n).cast("long").alias("train_tokens"), (F.max("base") + F.sum(logs)).alias("base_score"),
+        *[F.max(name).alias(name) for name in shown],
+    )
+    chosen = 0
+    if model.mass is None:
+        # Stored, so that the texts are asked about once for the choice and the result.
+        scored = stored(scored, "scored")
+        chosen = MASSES.index(_best_mass(scored.where("row < 0")))
+    return scored.where("row >= 0").select(id_col, "n_tokens", "n_known", "train_tokens", "base_score", F.col(shown[chosen]).alias("score"))

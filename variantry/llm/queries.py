@@ -61,8 +61,8 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     held_out = _held_out(10, 0)
-    model, rare = lm.fit(docs.where(~held_out))
-    return lm.score(docs, model, rare).withColumn("held_out", held_out)
+    model, rare = lm.fit(docs.where(~held_out), mass=False)
+    return lm.score(docs, model, rare, training=~held_out).withColumn("held_out", held_out)
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
