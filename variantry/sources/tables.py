@@ -231,7 +231,7 @@ def read_datasets(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, lis
             [(location(spark, valid[index]), index) for index in members], "_root string, _number int"
         )
         placed = _scan(spark, [valid[index] for index in members], schemas, folder.alias("_folder"))
-        numbered = placed.join(numbers, F.col("_folder") == F.col("_root"), "left")
+        numbered = placed.join(F.broadcast(numbers), F.col("_folder") == F.col("_root"), "left")
         lost = F.raise_error(F.concat(F.lit("no dataset of the list is at "), F.col("_folder"))).cast("int")
         frames.append(_with_family(
             numbered.withColumn(DATASET_INDEX, F.coalesce("_number", lost)).drop("_folder", "_root", "_number")
@@ -245,5 +245,5 @@ def number_datasets(df: DataFrame, by: str = SOURCE_DATASET) -> tuple[DataFrame,
     if None in names:
         raise ValueError(f"rows without {by}")
     numbers = df.sparkSession.createDataFrame(list(zip(names, range(len(names)))), f"{by} string, {DATASET_INDEX} int")
-    return df.join(numbers, by), names
+    return df.join(F.broadcast(numbers), by), names
 
