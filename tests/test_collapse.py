@@ -110,6 +110,12 @@ def test_repeated_values_are_dropped_before_the_shuffle(spark, plan_of):
     assert "partial_collect_set" in plan and plan.count("Exchange") == 1
 
 
+def test_two_shuffles_gather_values_in_order(spark, plan_of):
+    """Blocks and ranges are combined where the rows of a range are."""
+    df = spark.range(100).selectExpr("id % 2 as k", "cast(id as string) as v", f"id as {ROW_ORDER}")
+    assert plan_of(gather_distinct(df, ["k"], ["v"])).count("Exchange") == 2
+
+
 def test_unneeded_columns_are_not_read(spark, tmp_path, plan_of):
     path = str(tmp_path / "wide")
     rows(spark).write.parquet(path)

@@ -77,7 +77,6 @@ def tokens(cell: Column) -> Column:
 # texts: on a wide table, building them call by call would take longer than the job.
 _DOUBLE_TEXT = """
 case
-  when not rlike({java}, '[EIN]') then {java}
   when {java} = 'Infinity' then 'inf'
   when {java} = '-Infinity' then '-inf'
   when {java} = 'NaN' then null
@@ -92,7 +91,12 @@ end"""
 
 
 def double_text_sql(value: str) -> str:
-    java = f"cast({value} as string)"
+    """Most doubles have Java's text. The rules for the others stand in a function, as a method that holds them is too long to be compiled."""
+    plain = f"{value} = 0 or abs({value}) >= 0.001 and abs({value}) < 10000000"
+    return f"if({plain}, cast({value} as string), get(transform(array(cast({value} as string)), _java -> {_odd_double_text('_java')}), 0))"
+
+
+def _odd_double_text(java: str) -> str:
     lead = f"regexp_extract({java}, '^-?([0-9])[.]', 1)"
     rest = f"regexp_replace(regexp_extract({java}, '[.]([0-9]+)E', 1), '^0$', '')"
     return _DOUBLE_TEXT.format(

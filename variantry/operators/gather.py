@@ -2,9 +2,10 @@
 
 A group may hold any share of the rows, so its rows are never brought together in
 one step. Rows are first combined within blocks of consecutive rows, blocks then
-within ranges of blocks, ranges at last into the group. What travels after the first
-step are distinct values only, so a step of a group stays small however many rows it
-has.
+within ranges of blocks, ranges at last into the group. A range is an input partition: the
+rows of a group in one range are sent to one task, which combines its blocks and then
+the range. What travels after that are distinct values only, so a step of a group stays
+small however many rows it has.
 """
 
 from __future__ import annotations
@@ -21,10 +22,11 @@ GROUP_ROWS = "_group_rows"
 # ROW_ORDER comes from monotonically_increasing_id: 33 bits number the rows of an
 # input partition, the bits above number the partitions.
 BLOCK_BITS = 14  # rows in a block: at most 16,384
-RANGE_BITS = 25  # blocks in a range: those of 64 input partitions
+RANGE_BITS = 19  # blocks in a range: those of an input partition
 DATASET_BITS = 10  # datasets in a range: 1,024
 
 _BLOCK = "_block"
+_RANGE = "_range"
 _DATASETS = "_datasets"
 _ROWS = "_rows"
 
@@ -38,20 +40,20 @@ def with_row_order(df: DataFrame) -> DataFrame:
     return df if ROW_ORDER in df.columns else df.withColumn(ROW_ORDER, F.monotonically_increasing_id())
 
 
+def _block() -> Column:
+    return F.shiftright(F.col(ROW_ORDER), BLOCK_BITS)
+
+
 def _row_steps() -> list[dict[str, Column]]:
-    return [{_BLOCK: F.shiftright(F.col(ROW_ORDER), BLOCK_BITS)}, {_BLOCK: F.shiftright(F.col(_BLOCK), RANGE_BITS)}, {}]
+    same = {_RANGE: F.col(_RANGE)}
+    return [{**same, _BLOCK: _block()}, same, {}]
 
 
 def _dataset_steps(unique: bool) -> list[dict[str, Column]]:
     if unique:
         return [{_DATASETS: F.shiftright(F.col(DATASET_INDEX), DATASET_BITS)}, {}]
-    same = {_DATASETS: F.col(_DATASETS)}
-    return [
-        {_DATASETS: F.col(DATASET_INDEX), _BLOCK: F.shiftright(F.col(ROW_ORDER), BLOCK_BITS)},
-        {**same, _BLOCK: F.shiftright(F.col(_BLOCK), RANGE_BITS)},
-        {_DATASETS: F.shiftright(F.col(_DATASETS), DATASET_BITS)},
-        {},
-    ]
+    same = {_DATASETS: F.col(_DATASETS), _RANGE: F.col(_RANGE)}
+    return [{**same, _BLOCK: _block()}, same, {_DATASETS: F.shiftright(F.col(_DATASETS), DATASET_BITS)}, {}]
 
 
 def gather_distinct(
@@ -88,6 +90,11 @@ def gather_distinct(
         F.lit(1).cast("bigint").alias(GROUP_ROWS),
     )
     steps = _dataset_steps(unique) if by_dataset else _row_steps()
+    if _RANGE in steps[0]:
+        # Dealt by range, so that the first two steps need no shuffle of their own.
+        state = state.withColumn(_RANGE, F.shiftright(_block(), RANGE_BITS))
+        state = state.withColumn(_DATASETS, F.col(DATASET_INDEX)) if by_dataset else state
+        state = state.repartition(*[col(key) for key in keys], *[F.col(name) for name in steps[1]])
     slots |= {f"v{i}": name for i, name in enumerate(values or {})}
     for depth, step in enumerate(steps):
         state = _combine(state, keys, list(slots), rank, step, depth > 0)
