@@ -191,3 +191,35 @@ def test_a_variant_with_a_third_of_all_rows_is_left_out_before_its_rows_move(spa
     plan = plan_of(cohort(df, order=order, cutoff=3))
     assert "LeftAnti" in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert cohort(df.limit(0), order=order, cutoff=3).collect() == []
+
+
+def families_of_sites(spark):
+    """Sites with several rows per family, families that are not asked for or missing, and equal frequencies in other rows."""
+    rng = random.Random(9)
+    rows = [
+        ("1", rng.randrange(12), "A", "C", rng.choice(["s1", "s2", None]), rng.choice([0.1, 0.25, None]), rng.choice(["1", "2", "x", None]), i)
+        for i in range(400)
+    ]
+    return spark.createDataFrame(rows, f"CHROM string, POS long, REF string, ALT string, SAMPLE string, `{AF}` double, family string, {ROW_ORDER} long"), rows
+
+
+@pytest.mark.parametrize("wide", [64, 1])
+def test_sorted_cohort_of_many_and_few_families(spark, monkeypatch, wide):
+    from variantry.operators import cohort as module
+
+    monkeypatch.setattr(module, "WIDE", wide)
+    df, rows = families_of_sites(spark)
+    found = by_pos(cohort(df, families=["1", "2", "absent"], order="sorted"))
+    assert sorted(found) == sorted({row[1] for row in rows})
+    for pos, row in found.items():
+        own = [given for given in rows if given[1] == pos]
+        assert row["SAMPLE"] == sorted({given[4] for given in own if given[4]}) and row[ROW_COUNT] == len(own)
+        for family in ("1", "2"):
+            assert row[f"AF_{family}"] == next((given[5] for given in own if given[6] == family and given[5] is not None), None)
+        assert row["AF_absent"] is None
+
+
+def test_sorted_cohort_moves_rows_once(spark):
+    df, _ = families_of_sites(spark)
+    plan = cohort(df, families=["1", "2"], order="sorted")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1

@@ -99,6 +99,8 @@ def with_family_columns(df: DataFrame, families: list[str]) -> DataFrame:
 
 
 PAIRS = "_pairs"
+#: Up to so many families have an aggregate each; more would make every row of a shuffle wide.
+WIDE = 64
 
 
 def _first_of(family: str) -> Column:
@@ -109,33 +111,40 @@ def _first_of(family: str) -> Column:
 def _gather_in_families(
     rows: DataFrame, keys: list[str], listed: list[str], firsts: list[str], families: list[str] | None, rank: list[str],
 ) -> DataFrame:
-    """Sorted lists, first values and frequencies of each variant from one pass over the rows.
+    """Sorted lists, first values and frequencies of each variant from one pass over the rows and, up to WIDE families, one shuffle.
 
-    Rows are reduced per (variant, family) before the first shuffle, so what a variant
-    brings together is at most one row per family.
+    Rows are reduced per variant before it, so that a task sends distinct values and one frequency per family. For more families
+    rows are reduced per (variant, family) first; what a variant then brings together is at most one row per family.
     """
     slots = {f"c{i}": name for i, name in enumerate(listed)}
-    wanted = [*firsts, *([SAMPLE_AF] if families else [])]
-    heads = {f"v{i}": name for i, name in enumerate(wanted)}
     order = F.struct(*[col(name) for name in rank])
-    by_family = col("family").cast("string").alias(FAMILY) if families else F.lit(None).cast("string").alias(FAMILY)
-    first = rows.groupBy(*[col(key) for key in keys], by_family).agg(
-        *[F.expr(f"collect_set({text_sql(quoted(name), rows.schema[name].dataType)})").alias(slot) for slot, name in slots.items()],
-        *[F.min(F.when(col(name).isNotNull(), F.struct(order.alias("rank"), col(name).alias("value")))).alias(slot) for slot, name in heads.items()],
-        F.count(F.lit(1)).alias(GROUP_ROWS),
-    )
-    merged = [F.array_sort(F.array_distinct(F.flatten(F.collect_list(slot)))).alias(slot) for slot in slots]
-    merged += [F.min(slot).alias(slot) for slot, name in heads.items() if name in firsts]
-    if families:
-        frequency = next(slot for slot, name in heads.items() if name == SAMPLE_AF)
-        given = F.col(FAMILY).isNotNull() & F.col(frequency).isNotNull()
-        pair = F.struct(F.col(FAMILY).alias("family"), F.col(f"{frequency}.value").alias("value"))
+
+    def first(name: str, where: Column | None = None) -> Column:
+        given = col(name).isNotNull() if where is None else where & col(name).isNotNull()
+        return F.min(F.when(given, F.struct(order.alias("rank"), col(name).alias("value"))))
+
+    sets = [F.expr(f"collect_set({text_sql(quoted(name), rows.schema[name].dataType)})").alias(slot) for slot, name in slots.items()]
+    heads = {f"v{i}": name for i, name in enumerate(firsts)}
+    measures = [*sets, *[first(name).alias(slot) for slot, name in heads.items()]]
+    count = F.count(F.lit(1)).alias(GROUP_ROWS)
+    keyed = [col(key) for key in keys]
+    if len(families or []) <= WIDE:
+        own = {f"f{i}": name for i, name in enumerate(families or [])}
+        by_family = [first(SAMPLE_AF, col("family").cast("string") == name).alias(slot) for slot, name in own.items()]
+        groups = rows.groupBy(*keyed).agg(*measures, *by_family, count).withColumns({slot: F.array_sort(slot) for slot in slots})
+        frequencies = [F.col(f"{slot}.value").alias(f"AF_{name}") for slot, name in own.items()]
+    else:
+        parts = rows.groupBy(*keyed, col("family").cast("string").alias(FAMILY)).agg(*measures, first(SAMPLE_AF).alias("frequency"), count)
+        merged = [F.array_sort(F.array_distinct(F.flatten(F.collect_list(slot)))).alias(slot) for slot in slots]
+        merged += [F.min(slot).alias(slot) for slot in heads]
+        given = F.col(FAMILY).isNotNull() & F.col("frequency").isNotNull()
+        pair = F.struct(F.col(FAMILY).alias("family"), F.col("frequency.value").alias("value"))
         merged.append(F.collect_list(F.when(given, pair)).alias(PAIRS))
-    groups = first.groupBy(*[col(key) for key in keys]).agg(*merged, F.sum(GROUP_ROWS).alias(GROUP_ROWS))
+        groups = parts.groupBy(*keyed).agg(*merged, F.sum(GROUP_ROWS).alias(GROUP_ROWS))
+        frequencies = [_first_of(family).alias(f"AF_{family}") for family in families]
     return groups.select(
-        *[col(key) for key in keys], *[F.col(slot).alias(name) for slot, name in slots.items()],
-        *[F.col(f"{slot}.value").alias(name) for slot, name in heads.items() if name in firsts],
-        *[_first_of(family).alias(f"AF_{family}") for family in families or []], F.col(GROUP_ROWS),
+        *keyed, *[F.col(slot).alias(name) for slot, name in slots.items()],
+        *[F.col(f"{slot}.value").alias(name) for slot, name in heads.items()], *frequencies, F.col(GROUP_ROWS),
     )
 
 
