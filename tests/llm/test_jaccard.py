@@ -88,3 +88,12 @@ def test_empty_and_other_columns(spark):
     assert jaccard_components(spark.createDataFrame([], "doc_id long, text string")).collect() == []
     odd = spark.createDataFrame([("p", "a b c d", 5, 1), ("o", "A b c d", 6, 2)], "doc_id string, text string, n int, key int")
     assert [r["component_id"] for r in jaccard_components(odd).collect()] == ["o", "o"]
+
+
+def test_candidates_are_numbers_only(spark, monkeypatch):
+    """What moves per pair does not grow with what is known of its sets."""
+    seen = []
+    monkeypatch.setattr(jaccard, "_candidates", lambda *given, plain=jaccard._candidates: seen.append(plain(*given)) or seen[-1])
+    rows = [(i, text) for i, text in enumerate(near_copies(5))]
+    assert found(jaccard_components(as_documents(spark, rows))) == plain_components(rows)
+    assert {field.dataType.typeName() for field in seen[0].schema} == {"long"}

@@ -79,6 +79,20 @@ def test_dense_group_links_stay_few(spark):
     assert len(roots) == 1023 and {r["root"] for r in roots} == {0}
 
 
+@pytest.mark.parametrize("most", [1 << 18, 5])
+def test_few_links_need_no_rounds(spark, monkeypatch, most):
+    from variantry.llm import components as module
+
+    names = []
+    monkeypatch.setattr(module, "FOREST_ROWS", most)
+    monkeypatch.setattr(module, "stored", lambda df, name, keep=module.stored: names.append(name) or keep(df, name))
+    links = [(i, i + 1) for i in range(30)] + [(100, 90), (90, 80), (7, 7), (100, 80)]
+    random.Random(4).shuffle(links)
+    rows = components(spark.createDataFrame(links, "a long, b long").repartition(4)).collect()
+    assert sorted((r["node"], r["root"]) for r in rows) == [*((i, 0) for i in range(1, 31)), (90, 80), (100, 80)]
+    assert (len(names) == 2) == (most > len(links))
+
+
 @pytest.mark.parametrize("length", [1, 2, 40])
 def test_components_of_a_path(spark, length):
     links = [(i, i + 1) for i in range(length)]

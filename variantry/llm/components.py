@@ -2,7 +2,8 @@
 
 Large-star: every node gives its larger neighbours its smallest one. Small-star: every node gives its
 smaller neighbours its smallest one. A number of rounds that grows with the logarithm of the longest
-path ends in stars around the smallest node. Each round's tables are stored: lineage is cut, and a
+path ends in stars around the smallest node. Links are first reduced to forests by tasks of FOREST_ROWS links; so
+few links are done with that, in one task of bounded size and without rounds. Each round's tables are stored: lineage is cut, and a
 join reads both sides from files, so that adaptive execution can split a node with very many links.
 """
 
@@ -65,7 +66,12 @@ def _small_star(links: DataFrame) -> DataFrame:
 
 def components(links: DataFrame) -> DataFrame:
     """Rows (node, root) for every node of `links` (a, b: long) but the roots, each the smallest of its component."""
-    links = stored(links.where("a <> b").mapInPandas(_forest, "a long, b long").distinct(), "links")
+    links = stored(links.where("a <> b"), "links")
+    tasks = max(1, -(-links.count() // FOREST_ROWS))
+    forest = links.coalesce(tasks).mapInPandas(_forest, "a long, b long")
+    if tasks == 1:
+        return stored(forest, "forest").select(F.col("a").alias("node"), F.col("b").alias("root"))
+    links = stored(forest.distinct(), "links")
     before = None
     while True:
         links = stored(_small_star(_large_star(links)), "links")

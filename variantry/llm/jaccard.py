@@ -47,8 +47,8 @@ WIDTH = 5
 SLICE_BYTES = 1 << 20
 #: Shingles of different sets that are counted together when frequent ones are sought.
 UNIT = 1 << 21
-#: A shingle is frequent if units that hold it more than once hold it this often; at most MOST shingles are.
-FREQUENT, MOST = 64, 1 << 20
+#: A shingle is frequent if units that hold it more than once hold it more often than this; at most MOST shingles are.
+FREQUENT, MOST = 16, 1 << 20
 #: Sets per block of a list, and compared with one copy of a pivot.
 PART = 256
 MIX, LAST = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -244,14 +244,11 @@ def _stars(docs: DataFrame, classes: DataFrame, lists: DataFrame, text_col: str,
     return stored(linked, "stars")
 
 
-def _candidates(lists: DataFrame, stars: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of sets of different components that share enough of their prefixes, with what is known of each."""
-    known = stars.select(F.col("b").alias("set"), F.col("a").alias("ref"), "overlap", F.col("na").alias("ref_n"))
-    labelled = roots.select(F.col("node").alias("set"), "root").join(known, "set", "left")
-    places = lists.select("token", "set", "n", "pos", "length").join(labelled, "set", "left").select(
-        "token", F.coalesce("root", "set").alias("root"), "length",
-        F.struct("set", "n", "pos", F.coalesce("ref", "set").alias("ref"), F.coalesce("ref_n", "n").alias("ref_n"),
-                 F.coalesce("overlap", "n").alias("overlap")).alias("place"),
+def _candidates(lists: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs (a, b) of sets of different components, with their sizes (na, nb), that share enough of their prefixes."""
+    labelled = roots.select(F.col("node").alias("set"), "root")
+    places = lists.join(labelled, "set", "left").select(
+        "token", F.coalesce("root", "set").alias("root"), "length", F.struct("set", "n", "pos").alias("place")
     )
     band = F.floor(F.log2(F.col("place.n").cast("double")) * 4)
     part = F.pmod(F.xxhash64("place.set"), F.floor(F.col("length") / PART) + 1)
@@ -271,24 +268,30 @@ def _candidates(lists: DataFrame, stars: DataFrame, roots: DataFrame) -> DataFra
         "5 * x.n >= 4 * y.n and 5 * y.n >= 4 * x.n and "
         f"least(x.pos, y.pos) + least(x.n - x.pos, y.n - y.pos) >= {needed('x.n', 'y.n')}"
     )
+    # Numbers only: what else is known of the sets is looked up for the pairs that are left.
+    both = "struct(x.set as a, y.set as b, x.n as na, y.n as nb)"
     pairs = met.select(F.expr(
-        f"inline(flatten(transform(l_places, x -> transform(filter(r_places, y -> {pair}), y -> struct(x, y)))))"
+        f"inline(flatten(transform(l_places, x -> transform(filter(r_places, y -> {pair}), y -> {both}))))"
     ))
-    counted = pairs.groupBy(F.col("x.set").alias("a"), F.col("y.set").alias("b")).agg(
-        F.count(F.lit(1)).alias("shared"), F.first("x").alias("x"), F.first("y").alias("y")
-    )
-    beyond = f"greatest({_beyond('x.n')}, {_beyond('y.n')})"
-    return stored(counted.where(f"shared + {beyond} >= {needed('x.n', 'y.n')}"), "candidates")
+    counted = pairs.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("shared"))
+    beyond = f"greatest({_beyond('na')}, {_beyond('nb')})"
+    return stored(counted.where(f"shared + {beyond} >= {needed('na', 'nb')}").drop("shared"), "candidates")
 
 
-def _links(docs: DataFrame, classes: DataFrame, candidates: DataFrame, text_col: str, width: int) -> DataFrame:
+def _links(docs: DataFrame, classes: DataFrame, candidates: DataFrame, stars: DataFrame, text_col: str, width: int) -> DataFrame:
     """The candidates that are linked, from the overlaps of their pivots where these decide it."""
-    pivots = candidates.selectExpr("a", "b", "x", "y", "least(x.ref, y.ref) as low", "greatest(x.ref, y.ref) as high")
+    for side in "ab":
+        star = stars.selectExpr(f"b as {side}", f"a as ref_{side}", f"na as ref_n{side}", f"overlap as own_{side}")
+        candidates = candidates.join(star, side, "left").withColumns(
+            {f"ref_{side}": F.coalesce(f"ref_{side}", side), f"ref_n{side}": F.coalesce(f"ref_n{side}", f"n{side}"),
+             f"own_{side}": F.coalesce(f"own_{side}", f"n{side}")}
+        )
+    pivots = stored(candidates.withColumns({"low": F.least("ref_a", "ref_b"), "high": F.greatest("ref_a", "ref_b")}), "pivots")
     known = overlaps(docs, classes, pivots.selectExpr("low as a", "high as b"), text_col, width)
     known = known.select(F.col("a").alias("low"), F.col("b").alias("high"), "overlap")
     derived = pivots.join(known, ["low", "high"]).selectExpr(
-        "a", "b", f"{needed('x.n', 'y.n')} as need",
-        "overlap + (x.n - x.overlap) + (y.n - y.overlap) as most", "overlap - (x.ref_n - x.overlap) - (y.ref_n - y.overlap) as least",
+        "a", "b", f"{needed('na', 'nb')} as need",
+        "overlap + (na - own_a) + (nb - own_b) as most", "overlap - (ref_na - own_a) - (ref_nb - own_b) as least",
     )
     derived = stored(derived.where("most >= need"), "derived")
     open_pairs = derived.where("least < need")
@@ -311,13 +314,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     lists = _lists(classes)
     stars = _stars(docs, classes, lists, text_col, width)
     roots = components(stars.select("a", "b"))
-    candidates = _candidates(lists, stars, roots)
-    links = stars.select("a", "b").union(_links(docs, classes, candidates, text_col, width))
+    candidates = _candidates(lists, roots)
+    links = stars.select("a", "b").union(_links(docs, classes, candidates, stars, text_col, width))
     roots = components(links)
     named = classes.select("set", *same, "id").join(roots, F.col("set") == F.col("node"), "left")
     named = stored(named.select(*same, "id", F.coalesce("root", "set").alias("root")), "named")
     smallest = named.groupBy("root").agg(F.min("id").alias("component_id"))
-    named = stored(named.join(smallest, "root").select(*same, "component_id"), "components")
+    named = named.join(smallest, "root").select(*same, "component_id")
     joined = rows.select("id", *same).join(named, same, "left")
     return joined.select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id")
