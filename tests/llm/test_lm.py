@@ -176,3 +176,23 @@ def test_a_model_without_a_mass_needs_its_training_texts(spark):
     model, rare = lm.fit(docs, shards=4, mass=False)
     with pytest.raises(ValueError):
         lm.score(docs, model, rare)
+
+
+def test_pairs_of_equal_levels_are_one_kind():
+    """Each token has the values that its own pair has; logarithms are taken of a few kinds only."""
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice("abcdefghij") * rng.choice((1, 2)) for _ in range(rng.randrange(60))) for _ in range(30)]
+    tokens = lm.Tokens(pa.array(texts, pa.large_string()))
+    hashes = lm._word_hashes(tokens.words)
+    before, after = tokens.pairs()
+    levels = {1: dict(zip(hashes.tolist(), (rng.randrange(4) for _ in hashes), strict=True))}
+    pairs = lm._pair_hashes(hashes[before], hashes[after])
+    levels[2] = {value: rng.randrange(3) for value in pairs.tolist()}
+    model = lm.LanguageModel(None, 100, 10, pa.array([], pa.large_string()), np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    ask = lambda asked, order: np.array([levels[order][value] for value in asked.tolist()], np.int64)
+    both, first, chance, place = model.pair_counts(tokens, hashes, ask)
+    estimate = lm.counts_of(ask(hashes, 1), lm.BASES[0])
+    expected = np.minimum(lm.counts_of(ask(pairs, 2), lm.BASES[1]), np.minimum(estimate[before], estimate[after]))
+    assert (both[place] == expected).all() and (first[place] == estimate[before]).all()
+    assert (chance[place] == (estimate[after] + lm.SMOOTHING) / model.total).all()
+    assert len(both) <= 4 * 4 * 3 < len(np.unique(pairs))

@@ -107,18 +107,29 @@ class LanguageModel:
         return read_levels(self.bits, hashes, order, self.shards, self.most)
 
     def pair_counts(self, tokens: Tokens, hashes: np.ndarray, ask: Ask) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """For each distinct pair its count, that of the word before, and the smoothed probability of the word; and each token's pair."""
-        estimate = counts_of(ask(hashes, 1), BASES[0])
+        """For each kind of pair its count, that of the word before, and the smoothed probability of the word; and each token's kind.
+
+        Pairs whose levels and whose words' levels are the same are of one kind, so that few values need a logarithm.
+        """
+        levels = ask(hashes, 1)
         before, after = tokens.pairs()
         # Pairs repeat within a slice, and each answer takes several probes.
         unique, place = np.unique(before * len(hashes) + after, return_inverse=True)
         before, after = unique // max(len(hashes), 1), unique % max(len(hashes), 1)
-        known = np.flatnonzero((estimate[before] > 0) & (estimate[after] > 0))
-        one, two = before[known], after[known]
-        found = counts_of(ask(_pair_hashes(hashes[one], hashes[two]), 2), BASES[1])
-        both = np.zeros(len(unique))
-        both[known] = np.minimum(found, np.minimum(estimate[one], estimate[two]))
-        return both, estimate[before], ((estimate + SMOOTHING) / self.total)[after], place
+        before_level, after_level = levels[before], levels[after]
+        known = np.flatnonzero((before_level > 0) & (after_level > 0))
+        both_level = np.zeros(len(unique), np.int64)
+        both_level[known] = ask(_pair_hashes(hashes[before[known]], hashes[after[known]]), 2)
+        words, pairs = (int(found.max(initial=0)) + 1 for found in (levels, both_level))
+        code = (both_level * words + before_level) * words + after_level
+        held = np.zeros(pairs * words * words, bool)
+        held[code] = True
+        kinds = np.flatnonzero(held)
+        number = np.zeros(len(held), np.int64)
+        number[kinds] = np.arange(len(kinds))
+        first, second = (counts_of(found, BASES[0]) for found in (kinds // words % words, kinds % words))
+        both = np.minimum(counts_of(kinds // (words * words), BASES[1]), np.minimum(first, second))
+        return both, first, (second + SMOOTHING) / self.total, number[code][place]
 
 
 def _mixed(value: np.ndarray) -> np.ndarray:
