@@ -97,3 +97,21 @@ def test_candidates_are_numbers_only(spark, monkeypatch):
     rows = [(i, text) for i, text in enumerate(near_copies(5))]
     assert found(jaccard_components(as_documents(spark, rows))) == plain_components(rows)
     assert {field.dataType.typeName() for field in seen[0].schema} == {"long"}
+
+
+def test_large_groups_hardly_meet(spark, monkeypatch):
+    """Sets of a large group that differ too much are not paired in each list of the group."""
+    met = []
+
+    def counted(blocks, plain=jaccard._meetings):
+        met.append(plain(blocks).count())
+        return plain(blocks)
+
+    monkeypatch.setattr(jaccard, "_meetings", counted)
+    passage = [f"p{i}" for i in range(40)]
+    # Of 43 shingles, 36 are the passage's: 36 of 50 in common. Two words of their own leave 36 of 40.
+    texts = [" ".join([*passage, *(f"own{i}x{k}" for k in range(7))]) for i in range(120)]
+    texts += [" ".join([*passage, f"near{i}", f"close{i}"]) for i in range(20)]
+    rows = list(enumerate(texts))
+    assert found(jaccard_components(as_documents(spark, rows))) == plain_components(rows)
+    assert len(met) == 1 and met[0] <= 2 * len(rows)

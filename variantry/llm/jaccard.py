@@ -11,8 +11,10 @@ Relations between sets keep the work near the number of sets:
 * Each list of a shingle has a pivot, its smallest set. Every set is compared with the pivot that it shares most lists with;
   what this links are stars, whose sets have a known overlap with their pivot.
 * Lists are cut into blocks by component, size and hash. Blocks of one component are not compared, nor those whose sizes
-  or positions cannot give the overlap needed: whole blocks are skipped, then pairs. What is left must share enough of the
-  prefixes (`needed` less what can lie beyond them).
+  or positions cannot give the overlap needed: whole blocks are skipped, then pairs.
+* Linked sets share not one but `shared_least` listed shingles of their prefixes. The one in their shortest list has that many
+  at its place or after it in either set, by length of list, so two sets meet in a list only if both have as many left there. In
+  the long lists of a large group, which come last, hardly any pair is left.
 * Answers of similar sets are derived: for a pair of sets, the overlap of their pivots is computed once, and what each set
   lacks of its pivot or has besides bounds the overlap of the pair from both sides. Only pairs that the bounds leave open are compared.
 
@@ -96,6 +98,11 @@ def _beyond(n: str) -> str:
     return f"((4 * {n} + 4) div 5 - 1)"
 
 
+def shared_least(na: str, nb: str, large_a: str | None = None, large_b: str | None = None) -> str:
+    """How many shingles of their prefixes linked sets of sizes na and nb share at least; of sizes up to `large_`, if given."""
+    return f"({needed(na, nb)} - greatest({_beyond(large_a or na)}, {_beyond(large_b or nb)}))"
+
+
 def frequent_shingles(docs: DataFrame, text_col: str, width: int = WIDTH) -> np.ndarray:
     """Shingles that many different sets hold, in order; at most MOST.
 
@@ -193,19 +200,21 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def overlaps(docs: DataFrame, classes: DataFrame, pairs: DataFrame, text_col: str, width: int = WIDTH) -> DataFrame:
     """Pairs (a, b) of sets of `classes` with the number of shingles they share."""
     pairs = stored(pairs.select("a", "b").distinct(), "pairs")
-    asked = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct()
-    asked = stored(classes.select("set", "key").join(asked, "set", "left_semi"), "asked")
+    load = pairs.groupBy("a").agg((F.count(F.lit(1)) / PART).cast("int").alias("parts"))
+    pivots = load.select(
+        F.col("a").alias("set"), "a", F.explode(F.sequence(F.lit(0), "parts")).alias("part"), F.lit(None).cast("long").alias("b")
+    )
+    part = F.pmod(F.xxhash64("b"), F.col("parts") + 1).cast("int").alias("part")
+    others = pairs.join(load, "a").select(F.col("b").alias("set"), "a", part, "b")
+    # Where a set is needed travels to its text, so that its shingles move once, to the comparison.
+    places = pivots.union(others).groupBy("set").agg(F.collect_list(F.struct("a", "part", "b")).alias("places"))
+    asked = stored(classes.select("set", "key").join(places, "set").select("key", "places"), "asked")
     texts = docs.select(_key(F.col(text_col)).alias("text_key"), text_of(F.col(text_col)).alias("text"))
     near = marked(texts.withColumn("hash", F.xxhash64("text_key")), "hash", bitmap(asked.select(F.xxhash64("key").alias("key"))), "found")
     once = near.where("found").groupBy("text_key").agg(F.min("text").alias("text"))
-    members = once.join(asked, F.col("text_key") == F.col("key")).select("set", packed(F.col("text"), width).alias("shingles"))
-    members = stored(members, "members")
-    load = pairs.groupBy("a").agg((F.count(F.lit(1)) / PART).cast("int").alias("parts"))
-    pivots = load.select("a", F.explode(F.sequence(F.lit(0), "parts")).alias("part"))
-    pivots = pivots.join(members, F.col("a") == F.col("set")).select("a", "part", F.lit(None).cast("long").alias("b"), "shingles")
-    dealt = pairs.join(load, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts") + 1).cast("int").alias("part"), "b")
-    others = dealt.join(members, F.col("b") == F.col("set")).select("a", "part", "b", "shingles")
-    together = pivots.union(others).repartition("a", "part").sortWithinPartitions("a", "part", F.asc_nulls_first("b"))
+    members = once.join(asked, F.col("text_key") == F.col("key")).select("places", packed(F.col("text"), width).alias("shingles"))
+    together = members.select(F.inline("places"), "shingles")
+    together = together.repartition("a", "part").sortWithinPartitions("a", "part", F.asc_nulls_first("b"))
     return stored(together.select("a", "b", "shingles").mapInArrow(_compared, "a long, b long, overlap long"), "overlaps")
 
 
@@ -235,8 +244,7 @@ def _stars(docs: DataFrame, classes: DataFrame, lists: DataFrame, text_col: str,
     met = met.groupBy(F.col("set").alias("b"), F.col("pivot").alias("a")).agg(
         F.count(F.lit(1)).alias("shared"), F.first("n").alias("nb"), F.first("pivot_n").alias("na")
     )
-    beyond = f"greatest({_beyond('na')}, {_beyond('nb')})"
-    enough = met.where(f"2 * shared + {beyond} >= {needed('na', 'nb')}")
+    enough = met.where(f"2 * shared >= {shared_least('na', 'nb')}")
     best = enough.groupBy("b").agg(F.max(F.struct("shared", "a", "na", "nb")).alias("best")).select("b", "best.*")
     best = stored(best, "best")
     compared = overlaps(docs, classes, best, text_col, width)
@@ -244,38 +252,47 @@ def _stars(docs: DataFrame, classes: DataFrame, lists: DataFrame, text_col: str,
     return stored(linked, "stars")
 
 
-def _candidates(lists: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs (a, b) of sets of different components, with their sizes (na, nb), that share enough of their prefixes."""
-    labelled = roots.select(F.col("node").alias("set"), "root")
-    places = lists.join(labelled, "set", "left").select(
-        "token", F.coalesce("root", "set").alias("root"), "length", F.struct("set", "n", "pos").alias("place")
-    )
-    band = F.floor(F.log2(F.col("place.n").cast("double")) * 4)
-    part = F.pmod(F.xxhash64("place.set"), F.floor(F.col("length") / PART) + 1)
-    blocks = places.groupBy("token", "root", band.alias("band"), part.alias("part")).agg(
-        F.collect_list("place").alias("places"), F.min("place.n").alias("least"), F.max("place.n").alias("most"),
-        F.max("place.pos").alias("before"), F.max(F.col("place.n") - F.col("place.pos") - 1).alias("after"),
-    )
-    roots_of = blocks.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    blocks = stored(blocks.join(roots_of.select("token"), "token", "left_semi"), "blocks")
+def _meetings(blocks: DataFrame) -> DataFrame:
+    """Pairs (a, b, na, nb), once per list in which they meet with all that a linked pair has there."""
     left, right = (blocks.select(*[F.col(name).alias(f"{side}_{name}") for name in blocks.columns]) for side in "lr")
     reachable = "least(l_before, r_before) + 1 + least(l_after, r_after) >= " + needed("l_least", "r_least")
     met = left.join(right, F.expr(
         f"l_token = r_token and l_root < r_root and 5 * l_most >= 4 * r_least "
-        f"and 5 * r_most >= 4 * l_least and {reachable}"
+        f"and 5 * r_most >= 4 * l_least and {reachable} "
+        f"and least(l_rest, r_rest) >= {shared_least('l_least', 'r_least', 'l_most', 'r_most')}"
     ))
     pair = (
         "5 * x.n >= 4 * y.n and 5 * y.n >= 4 * x.n and "
-        f"least(x.pos, y.pos) + least(x.n - x.pos, y.n - y.pos) >= {needed('x.n', 'y.n')}"
+        f"least(x.pos, y.pos) + least(x.n - x.pos, y.n - y.pos) >= {needed('x.n', 'y.n')} and "
+        f"least(x.rest, y.rest) >= {shared_least('x.n', 'y.n')}"
     )
     # Numbers only: what else is known of the sets is looked up for the pairs that are left.
     both = "struct(x.set as a, y.set as b, x.n as na, y.n as nb)"
-    pairs = met.select(F.expr(
+    return met.select(F.expr(
         f"inline(flatten(transform(l_places, x -> transform(filter(r_places, y -> {pair}), y -> {both}))))"
     ))
-    counted = pairs.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("shared"))
-    beyond = f"greatest({_beyond('na')}, {_beyond('nb')})"
-    return stored(counted.where(f"shared + {beyond} >= {needed('na', 'nb')}").drop("shared"), "candidates")
+
+
+def _candidates(lists: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs (a, b) of sets of different components, with their sizes (na, nb), that may share enough of their prefixes."""
+    labelled = roots.select(F.col("node").alias("set"), "root")
+    own = Window.partitionBy("set").orderBy(F.desc("length"), F.desc("token"))
+    ranked = lists.select("token", "set", "n", "pos", "length", F.row_number().over(own).alias("rest"))
+    places = ranked.join(labelled, "set", "left").select(
+        "token", F.coalesce("root", "set").alias("root"), "length", F.struct("set", "n", "pos", "rest").alias("place")
+    )
+    # All that follows is by shingle, so its places move once.
+    whole = Window.partitionBy("token")
+    places = places.withColumns({"low": F.min("root").over(whole), "high": F.max("root").over(whole)}).where("low <> high")
+    band = F.floor(F.log2(F.col("place.n").cast("double")) * 16)
+    part = F.pmod(F.xxhash64("place.set"), F.floor(F.col("length") / PART) + 1)
+    blocks = places.groupBy("token", "root", band.alias("band"), part.alias("part")).agg(
+        F.collect_list("place").alias("places"), F.min("place.n").alias("least"), F.max("place.n").alias("most"),
+        F.max("place.pos").alias("before"), F.max(F.col("place.n") - F.col("place.pos") - 1).alias("after"),
+        F.max("place.rest").alias("rest"),
+    )
+    blocks = stored(blocks, "blocks")
+    return stored(_meetings(blocks).distinct(), "candidates")
 
 
 def _links(docs: DataFrame, classes: DataFrame, candidates: DataFrame, stars: DataFrame, text_col: str, width: int) -> DataFrame:
