@@ -141,3 +141,25 @@ def test_rows_that_cannot_match_are_not_joined(spark, plan_of):
     df = spark.range(10).selectExpr("id as POS", "concat('rs', id) as ID")
     plan = plan_of(membership.match_rsids(df, spark.createDataFrame([("rs2",)], "id string")))
     assert "LeftSemi" in plan and "LeftOuter" not in plan and "Cartesian" not in plan
+
+
+@pytest.fixture
+def plain_joins(spark):
+    """Joins that move both sides, with as many tasks as there are partitions."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def test_rows_that_cannot_match_are_spread(spark, plain_joins):
+    """No task of the join that finds the listed cells gets all rows without an entry."""
+    cells = F.expr("case id % 4 when 0 then '.' when 1 then '' when 2 then null else concat('rs', id) end")
+    df = spark.range(4000).select(F.col("id").alias("POS"), F.lit("chr1").alias("CHROM"), cells.alias("ID"))
+    marked, _ = mark_criteria(df, rsids=spark.createDataFrame([("rs3",), ("rs7",), (".",)], "rsid string"))
+    assert sorted(row["POS"] for row in marked.where("_in_rsids").collect()) == [3, 7]
+    tasks = [row["count"] for row in marked.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(tasks) == 4000 and max(tasks) < 1500

@@ -43,19 +43,23 @@ def mark_listed(df: DataFrame, name: str, wanted: Listing, flag: str) -> DataFra
     A list that the caller holds becomes part of the filter. A table is matched against the
     distinct cells, of which there are far fewer than rows, and the cells found are joined
     back. No row is ever duplicated, and hot cells shrink to one before the first shuffle.
-    Cells that cannot match (null, empty or a dot) get a second key that spreads them; it
-    comes from the columns that name a row's site.
+    A second key comes from the cell; for cells that cannot match (null, empty or a dot) it
+    comes from the columns that name a row's site, which spreads them.
     """
     cell = col(name).cast("string")
     if not isinstance(wanted, DataFrame):
         known = list(dict.fromkeys(value for value in wanted if value is not None))
         hit = F.exists(tokens(cell), lambda token: token.isin(*known)) if known else F.lit(False)
         return df.withColumn(flag, F.coalesce(hit, F.lit(False)))
-    found = _found_cells(df, name, wanted).withColumns({"_part": F.lit(0), flag: F.lit(True)})
-    place = F.when(_possible(cell), 0).otherwise(1 + F.pmod(_apart(df, name), F.lit(SPREAD)))
-    keyed = df.withColumns({"_key": F.when(_possible(cell), cell).otherwise(""), "_place": place.cast("int")})
-    marked = keyed.join(found, (F.col("_key") == F.col("_cell")) & (F.col("_place") == F.col("_part")), "left")
-    return marked.drop("_cell", "_part", "_key", "_place").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+    found = _found_cells(df, name, wanted, _part=_part_of(F.xxhash64(cell))).withColumn(flag, F.lit(True))
+    # Both parts come from columns: a join leaves constants out of its keys, and then they spread nothing.
+    placed = df.withColumn("_place", _part_of(F.when(_possible(cell), F.xxhash64(cell)).otherwise(_apart(df, name))))
+    marked = placed.join(found, (cell == F.col("_cell")) & (F.col("_place") == F.col("_part")), "left")
+    return marked.drop("_cell", "_part", "_place").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+
+
+def _part_of(value: Column) -> Column:
+    return F.pmod(value, F.lit(SPREAD)).cast("int")
 
 
 def _possible(cell: Column) -> Column:
@@ -68,12 +72,13 @@ def _apart(df: DataFrame, name: str) -> Column:
     return F.xxhash64(*[col(other) for other in telling or df.columns])
 
 
-def _found_cells(df: DataFrame, name: str, wanted: DataFrame) -> DataFrame:
-    """The distinct cells with an entry in the list."""
+def _found_cells(df: DataFrame, name: str, wanted: DataFrame, **more: Column) -> DataFrame:
+    """The distinct cells with an entry in the list, and `more` that follows from the cell."""
     listed = wanted.select(F.col(wanted.columns[0]).cast("string").alias("_wanted")).dropna()
-    cells = df.select(col(name).cast("string").alias("_cell")).where(_possible(F.col("_cell"))).distinct()
-    entries = cells.select("_cell", F.explode(tokens(F.col("_cell"))).alias("_wanted"))
-    return entries.join(listed, "_wanted", "left_semi").select("_cell").distinct()
+    cells = df.select(col(name).cast("string").alias("_cell"), *[value.alias(key) for key, value in more.items()])
+    cells = cells.where(_possible(F.col("_cell"))).distinct()
+    entries = cells.select("_cell", *more, F.explode(tokens(F.col("_cell"))).alias("_wanted"))
+    return entries.join(listed, "_wanted", "left_semi").select("_cell", *more).distinct()
 
 
 def _keep_listed(df: DataFrame, name: str, wanted: DataFrame) -> DataFrame:
